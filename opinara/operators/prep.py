@@ -95,7 +95,7 @@ def exclude_keys(df: DataFrame, col: str, values: Sequence[Any]) -> DataFrame:
     """Drop the rows whose key is listed; rows without a key stay."""
     kept = df
     for value in values:
-        kept = kept.where(~F.col(col).eqNullSafe(F.lit(value)))
+        kept = kept.where(~F.col(col).eqNullSafe(F.lit(value)))  # lit keeps a Column as it is
     return kept
 
 

@@ -22,7 +22,7 @@ def epoch_date(col: Column) -> Column:
 
 def parse_date(col: Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Date from text; text that does not parse gives NULL."""
-    return F.try_to_timestamp(col, F.lit(fmt)).cast("date")
+    return F.try_to_date(col, fmt)
 
 
 def label_value(col: Column) -> Column:

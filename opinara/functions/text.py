@@ -31,9 +31,11 @@ UNICODE_SPACES = (
 
 # The same set as a character class.
 _SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
-# Python's \w and \d, spelt with the classes that agree with it in Java.
-_WORD = r"\p{L}\p{N}_"
-_DIGIT = r"\p{Nd}"
+# Python's \w and \d, spelt with the classes that agree with it in Java. Each also
+# names a letter or digit beyond U+FFFF, which it holds anyway: Java's look-behind
+# steps over whole code points only if the pattern holds one literally.
+_WORD = r"\p{L}\p{N}_" + "\U00010000"
+_DIGIT = r"[\p{Nd}" + "\U0001d7ce]"
 _OTHER = f"[^{KEPT_SYMBOLS}{_WORD}]"
 
 REPEATED_MARK = r"([.!?,])\1+"

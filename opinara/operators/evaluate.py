@@ -28,11 +28,17 @@ def score_label(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
+    """The classes' counts by distinct score, written to the shared folder.
+
+    Bounds, totals and running counts all start here, so that the table itself
+    is read once.
+    """
     pairs = score_label(df, score, label).where(F.col("score").isNotNull())
-    return pairs.groupBy("score").agg(
+    counted = pairs.groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("pos"),
         F.count_if(F.col("label") == 0).alias("neg"),
     )
+    return materialise(counted, "scores")
 
 
 def _with_bucket(by_score: DataFrame, buckets: int) -> DataFrame:
@@ -51,13 +57,8 @@ def _with_bucket(by_score: DataFrame, buckets: int) -> DataFrame:
     return bucketizer.transform(by_score)
 
 
-def _running_counts(df: DataFrame, score: str, label: str, buckets: int) -> DataFrame:
-    """Per distinct score the classes' counts at or above it, and the totals.
-
-    The counts by score are written to the shared folder, so the table itself
-    is read once although bounds, totals and running counts need them.
-    """
-    by_score = materialise(_by_score(df, score, label), "scores")
+def _running_counts(by_score: DataFrame, buckets: int) -> DataFrame:
+    """Per distinct score the classes' counts at or above it, and the totals."""
     bucketed = _with_bucket(by_score, buckets)
     # At most one row for each bucket, hence the windows without partition.
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -96,13 +97,14 @@ def _running_counts(df: DataFrame, score: str, label: str, buckets: int) -> Data
 
 def roc(df: DataFrame, score: str, label: str, buckets: int = BUCKETS) -> DataFrame:
     """Every point of the curve, from (0, 0) with no threshold down to (1, 1)."""
-    reached = _running_counts(df, score, label, buckets)
+    by_score = _by_score(df, score, label)
+    reached = _running_counts(by_score, buckets)
     points = reached.select(
         F.col("score").alias("threshold"),
         (F.col("neg_reached") / F.nullif("n_neg", F.lit(0))).alias("fpr"),
         (F.col("pos_reached") / F.nullif("n_pos", F.lit(0))).alias("tpr"),
     )
-    start = df.agg(
+    start = by_score.agg(
         F.lit(None).cast("double").alias("threshold"),
         F.lit(0.0).alias("fpr"),
         F.lit(0.0).alias("tpr"),
@@ -117,7 +119,7 @@ def auc(df: DataFrame, score: str, label: str, buckets: int = BUCKETS) -> DataFr
     right, ties counting half. Twice the pair count is an integer, so it is
     summed as a decimal and does not depend on the order of summation.
     """
-    reached = _running_counts(df, score, label, buckets)
+    reached = _running_counts(_by_score(df, score, label), buckets)
     whole = "decimal(19,0)"
     below = F.col("n_neg") - F.col("neg_reached")
     twice = F.col("pos").cast(whole) * (2 * below + F.col("neg")).cast(whole)

@@ -87,7 +87,7 @@ def cross_validate(
 
 
 def train(
-    df: DataFrame,
+    features: DataFrame,
     vectoriser: CountVectorizerModel,
     target: Target,
     reg_params: Sequence[float] = REG_PARAMS,
@@ -96,11 +96,10 @@ def train(
     seed: int = SEED,
     key: str = "id",
 ) -> PipelineModel:
-    """Vectoriser and classifier as one model.
+    """Vectoriser and the classifier fitted to its vectors, as one model.
 
     With fewer than two folds the first ``reg_params`` is taken as it is.
     """
-    features = vectoriser.transform(df)
     if folds >= 2:
         fitted = cross_validate(features, target, reg_params, max_iter, folds, seed, key).bestModel
     else:

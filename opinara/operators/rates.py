@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Keys = Sequence[str | Column]
@@ -59,6 +59,16 @@ def stage_counts(df: DataFrame, flags: Sequence[str] = ()) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), *counted)
 
 
+def observe_counts(df: DataFrame, flags: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """The table, and its row and flag counts once a job over it has run.
+
+    Counting on the way through a write saves the scan that a count would take.
+    """
+    observation = Observation()
+    counted = [F.count_if(F.col(flag) == 1).alias(flag) for flag in flags]
+    return df.observe(observation, F.count(F.lit(1)).alias("n_rows"), *counted), observation
+
+
 def count_stages(stages: Mapping[str, DataFrame]) -> DataFrame:
     """The row count of each named table, as rows ``stage, n_rows``."""
     counts = [

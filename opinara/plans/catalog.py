@@ -22,7 +22,7 @@ from opinara.operators.words import with_text, with_words
 from opinara.plans import flows, sql
 from opinara.plans import oracles as O
 from opinara.plans import standins as S
-from opinara.session import scratch_path
+from opinara.session import materialise, scratch_path
 from opinara.sources import (
     load_model,
     read_comments,
@@ -327,18 +327,26 @@ def join_rates(spark: SparkSession, sf: str) -> DataFrame:
             WHERE NOT body LIKE '%&gt;%' AND NOT body LIKE '%/s%'""",
 )
 def agg_stage_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The last two stages come out of one join, which carries a flag, no text."""
     comments, submissions = S.threads(spark, sf), S.submissions(spark, sf)
     labels = prep.slim(S.label_rows(spark, sf), {"Input_id": "iid"})
-    return R.count_stages(
+    flagged = comments.select(
+        "link_id", prep.is_unmarked(F.col("body")).cast("int").alias("unmarked")
+    )
+    linked = R.stage_counts(joins.link_join(flagged, submissions), ["unmarked"])
+    counts = R.count_stages(
         {
             "comments": comments,
             "submissions": submissions,
             "labels": labels,
             "labelled": joins.attach_labels(S.comments(spark, sf), labels),
-            "linked": joins.link_join(comments, submissions),
-            "unmarked": joins.link_join(prep.drop_marked(comments), submissions),
         }
     )
+    return counts.unionByName(
+        linked.withColumnRenamed("n_rows", "linked").unpivot(
+            [], ["linked", "unmarked"], "stage", "n_rows"
+        )
+    )
 
 
 @query(
@@ -561,7 +569,7 @@ def fea_doc_freq(spark: SparkSession, sf: str) -> DataFrame:
     f"{_LABELLED_TERMS} SELECT DISTINCT id AS doc_id, term FROM terms SEMI JOIN kept USING (term)",
 )
 def fea_presence(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = _labelled_documents(spark, sf)
+    labelled = materialise(_labelled_documents(spark, sf), "labelled_words")
     return features.presence(labelled, features.vocabulary(labelled), id="doc_id")
 
 
@@ -619,9 +627,10 @@ def _validated(
 ) -> DataFrame:
     """Mean area over the folds for each value of the grid."""
     labelled = _labelled_words(spark, sf)
-    vectors = features.fit_vocabulary(labelled).transform(labelled)
-    training, _ = models.hash_split(vectors, "id")
-    fitted = models.cross_validate(training, models.TARGETS[name], reg_params)
+    training, _ = models.hash_split(labelled, "id")
+    vectors = features.fit_vocabulary(labelled).transform(training).drop("words")
+    written = materialise(vectors, "vectors")
+    fitted = models.cross_validate(written, models.TARGETS[name], reg_params)
     rows = [
         (name, float(reg), float(area))
         for reg, area in zip(reg_params, fitted.avgMetrics, strict=True)

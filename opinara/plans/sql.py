@@ -31,7 +31,8 @@ def register_functions(spark: SparkSession) -> None:
     """Define ``normalise``, ``unigrams``, ``bigrams``, ``trigrams``, ``comment_words``.
 
     They are SQL functions, which Spark inlines into the query, and follow the
-    column functions of ``functions.text`` step by step.
+    column functions of ``functions.text`` step by step. What a step reads more
+    than once is the parameter of a function of its own, so it is computed once.
     """
     spaces = "".join(f"\\u{ord(c):04x}" for c in T.UNICODE_SPACES)
     text = _replace("body", r"[\r\n\t]", " ")
@@ -40,34 +41,41 @@ def register_functions(spark: SparkSession) -> None:
     text = f'trim(BOTH "{spaces}" FROM {text})'
     text = _replace(text, T.DETACHED_MARK, " $1 ")
     text = _replace(text, T.STRAY_SYMBOL, " ")
-    text = f'lower({_replace(f"""trim(translate({text}, "(", " "))""", " {2,}", " ")})'
-    unigrams = _replace(_replace("normalise(body)", " [.!?,;:] ", " "), r" [.!?,;:]\z", "")
+    text = f'trim(translate({text}, "(", " "))'
+    text = f'lower({_replace(text, " {2,}", " ")})'
+    unigrams = _replace(_replace("normalised", " [.!?,;:] ", " "), r" [.!?,;:]\z", "")
     marks = ", ".join(f'"{mark}"' for mark in T.MARKS)
-    segment_words = (
-        f'transform(split(normalise(body), r"{T.SPACES}"), '
+    segments = (
+        f'transform(split(normalised, r"{T.SPACES}"), '
         f"word -> CASE WHEN word NOT IN ({marks}) THEN word END)"
     )
-    two = (
-        f"zip_with({segment_words}, slice({segment_words}, 2, {T.TO_THE_END}), "
-        '(gram, word) -> gram || "_" || word)'
-    )
-    three = (
-        f"zip_with({two}, slice({segment_words}, 3, {T.TO_THE_END}), "
-        '(gram, word) -> gram || "_" || word)'
-    )
+
+    def extend(grams: str, position: int) -> str:
+        following = f"slice(segments, {position}, {T.TO_THE_END})"
+        return f'zip_with({grams}, {following}, (gram, word) -> gram || "_" || word)'
+
+    pairs = extend("segments", 2)
+    triples = extend(pairs, 3)
     words = (
-        'split(unigrams(body) || " " || array_join(bigrams(body), " ") || " " || '
-        'array_join(trigrams(body), " "), " ")'
+        'split(unigrams_of(normalised) || " " || '
+        'array_join(bigrams_of(segments_of(normalised)), " ") || " " || '
+        'array_join(trigrams_of(segments_of(normalised)), " "), " ")'
     )
-    functions = {
-        "normalise": ("STRING", text),
-        "unigrams": ("STRING", unigrams),
-        "bigrams": ("ARRAY<STRING>", f"array_compact({two})"),
-        "trigrams": ("ARRAY<STRING>", f"array_compact({three})"),
-        "comment_words": ("ARRAY<STRING>", words),
-    }
-    for name, (kind, expression) in functions.items():
+    array = "ARRAY<STRING>"
+    functions = [
+        ("normalise", "body STRING", "STRING", text),
+        ("unigrams_of", "normalised STRING", "STRING", unigrams),
+        ("segments_of", "normalised STRING", array, segments),
+        ("bigrams_of", f"segments {array}", array, f"array_compact({pairs})"),
+        ("trigrams_of", f"segments {array}", array, f"array_compact({triples})"),
+        ("words_of", "normalised STRING", array, words),
+        ("unigrams", "body STRING", "STRING", "unigrams_of(normalise(body))"),
+        ("bigrams", "body STRING", array, "bigrams_of(segments_of(normalise(body)))"),
+        ("trigrams", "body STRING", array, "trigrams_of(segments_of(normalise(body)))"),
+        ("comment_words", "body STRING", array, "words_of(normalise(body))"),
+    ]
+    for name, parameter, kind, expression in functions:
         spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(body STRING) "
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameter}) "
             f"RETURNS {kind} RETURN {expression}"
         )

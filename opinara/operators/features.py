@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,16 +94,14 @@ def fit_vocabulary(
 ) -> CountVectorizerModel:
     """A vectoriser that marks which vocabulary terms a text holds.
 
-    The vocabulary is the only thing that comes to the driver: ``size`` terms
-    at most. Its order is fixed, so a second fit gives the same features.
+    Fitted to the vocabulary itself, one term a row, so its own choice of terms
+    takes all of them, and ``size`` terms at most come to the driver.
     """
-    kept = vocabulary(df, words, min_df, size).orderBy(F.desc("term_count"), F.asc("term"))
-    terms = [row.term for row in kept.select("term").collect()]
-    if not terms:
-        raise ValueError(f"no term is in {math.ceil(min_df)} texts")
-    return CountVectorizerModel.from_vocabulary(
-        terms, inputCol=words, outputCol=features, binary=True
+    kept = vocabulary(df, words, min_df, size).select(F.array("term").alias(words))
+    vectoriser = CountVectorizer(
+        inputCol=words, outputCol=features, binary=True, minDF=1.0, vocabSize=size
     )
+    return vectoriser.fit(kept)
 
 
 def presence(df: DataFrame, vocab: DataFrame, id: str = "id", words: str = "words") -> DataFrame:

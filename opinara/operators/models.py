@@ -111,21 +111,21 @@ def train(
 def score(df: DataFrame, models: Mapping[str, PipelineModel], words: str = "words") -> DataFrame:
     """Add each model's 0.0/1.0 prediction, and its probability vector, in one pass.
 
-    Models that share a vocabulary share the vectors too.
+    Models with the same fitted vectoriser share the vectors too.
     """
     kept = [F.col(c) for c in df.columns]
     scored = df
-    vectors: dict[tuple[str, ...], str] = {}
+    vectors: dict[str, str] = {}
     added = []
     for name, model in models.items():
         vectoriser, classifier = model.stages
-        terms = tuple(vectoriser.vocabulary)
-        if terms not in vectors:
-            vectors[terms] = f"_features_{len(vectors)}"
-            columns = {vectoriser.inputCol: words, vectoriser.outputCol: vectors[terms]}
+        fitted = vectoriser.uid
+        if fitted not in vectors:
+            vectors[fitted] = f"_features_{len(vectors)}"
+            columns = {vectoriser.inputCol: words, vectoriser.outputCol: vectors[fitted]}
             scored = vectoriser.copy(columns).transform(scored)
         columns = {
-            classifier.featuresCol: vectors[terms],
+            classifier.featuresCol: vectors[fitted],
             classifier.rawPredictionCol: f"_raw_{name}",
             classifier.probabilityCol: f"{name}_probability",
             classifier.predictionCol: name,

@@ -29,6 +29,7 @@ from opinara.sources import (
     read_labels,
     read_table,
     save_model,
+    spread,
     write_json_lines,
     write_report_csv,
     write_table,
@@ -461,7 +462,7 @@ def topk_stories_supported(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return S.table(spark, sf, "documents").select("doc_id", F.col("text").alias("body"))
+    return spread(S.table(spark, sf, "documents").select("doc_id", F.col("text").alias("body")))
 
 
 def _text(spark: SparkSession, sf: str, part: str) -> DataFrame:
@@ -578,7 +579,7 @@ def fea_presence(spark: SparkSession, sf: str) -> DataFrame:
 
 def _labelled_words(spark: SparkSession, sf: str) -> DataFrame:
     labels = prep.slim(S.label_rows(spark, sf), prep.LABEL_COLUMNS)
-    return flows.labelled_words(S.comments(spark, sf), labels)
+    return flows.labelled_words(spread(S.comments(spark, sf)), labels)
 
 
 def _trained(
@@ -668,7 +669,7 @@ def ml_split(spark: SparkSession, sf: str) -> DataFrame:
 def ml_score(spark: SparkSession, sf: str) -> DataFrame:
     """Every document scored by both models."""
     fitted, _ = _trained(spark, sf)
-    return models.score(with_words(S.comments(spark, sf)), fitted).select("id", "pos", "neg")
+    return models.score(with_words(spread(S.comments(spark, sf))), fitted).select("id", "pos", "neg")
 
 
 @query("score_probability")
@@ -692,7 +693,8 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def end_to_end_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Train on labelled documents, score all threads, report rates by story."""
     fitted, _ = _trained(spark, sf)
-    scored = flows.score_comments(S.threads(spark, sf), S.submissions(spark, sf), fitted)
+    comments = spread(S.threads(spark, sf))
+    scored = flows.score_comments(comments, S.submissions(spark, sf), fitted)
     return R.rates(scored, ["sub_score", "title"], report.BOTH, support="n_comments")
 
 
@@ -860,7 +862,7 @@ def sql_surface_title(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     sql.register_functions(spark)
-    sql.register_views(spark, {"turns": S.table(spark, sf, "conversations")})
+    sql.register_views(spark, {"turns": spread(S.table(spark, sf, "conversations"))})
     return spark.sql(
         """SELECT concat_ws('_', conv_id, turn) AS id, normalise(text) AS normalised,
                   CAST(size(comment_words(text)) AS BIGINT) AS n_tokens FROM turns"""
@@ -881,7 +883,7 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
         GROUP BY 1""",
 )
 def opinion_by_place(spark: SparkSession, sf: str) -> DataFrame:
-    comments = prep.drop_marked(S.comments(spark, sf))
+    comments = prep.drop_marked(spread(S.comments(spark, sf)))
     labels = prep.slim(
         S.label_rows(spark, sf), {"Input_id": "iid", "labeldem": "pos", "labelgop": "neg"}
     )

@@ -4,6 +4,7 @@ from opinara.sources.readers import (
     read_labels,
     read_submissions,
     read_table,
+    spread,
 )
 from opinara.sources.writers import save_model, write_json_lines, write_report_csv, write_table
 
@@ -14,6 +15,7 @@ __all__ = [
     "read_submissions",
     "read_table",
     "save_model",
+    "spread",
     "write_json_lines",
     "write_report_csv",
     "write_table",

@@ -98,6 +98,8 @@ def fit_vocabulary(
     takes all of them, and ``size`` terms at most come to the driver.
     """
     kept = vocabulary(df, words, min_df, size).select(F.array("term").alias(words))
+    if kept.isEmpty():
+        raise ValueError(f"no term is in {min_df:g} texts")
     vectoriser = CountVectorizer(
         inputCol=words, outputCol=features, binary=True, minDF=1.0, vocabSize=size
     )

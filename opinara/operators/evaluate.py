@@ -17,7 +17,9 @@ from pyspark.sql.window import Window
 
 from opinara.session import materialise
 
-BUCKETS = 256
+# Distinct scores that one bucket's window runs over, about.
+SCORES_PER_BUCKET = 500_000
+MIN_BUCKETS, MAX_BUCKETS = 64, 100_000
 
 
 def score_label(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -41,6 +43,12 @@ def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
     return materialise(counted, "scores")
 
 
+def _bucket_count(by_score: DataFrame) -> int:
+    """Enough buckets that none is large; the count reads only file footers."""
+    wanted = math.ceil(by_score.count() / SCORES_PER_BUCKET)
+    return max(MIN_BUCKETS, min(wanted, MAX_BUCKETS))
+
+
 def _with_bucket(by_score: DataFrame, buckets: int) -> DataFrame:
     """Number the scores' quantile ranges in score order; NaN comes last."""
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
@@ -57,10 +65,10 @@ def _with_bucket(by_score: DataFrame, buckets: int) -> DataFrame:
     return bucketizer.transform(by_score)
 
 
-def _running_counts(by_score: DataFrame, buckets: int) -> DataFrame:
+def _running_counts(by_score: DataFrame, buckets: int | None) -> DataFrame:
     """Per distinct score the classes' counts at or above it, and the totals."""
-    bucketed = _with_bucket(by_score, buckets)
-    # At most one row for each bucket, hence the windows without partition.
+    bucketed = _with_bucket(by_score, buckets or _bucket_count(by_score))
+    # One row for each bucket, MAX_BUCKETS at most, hence windows without partition.
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     totals = (
@@ -95,7 +103,7 @@ def _running_counts(by_score: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def roc(df: DataFrame, score: str, label: str, buckets: int = BUCKETS) -> DataFrame:
+def roc(df: DataFrame, score: str, label: str, buckets: int | None = None) -> DataFrame:
     """Every point of the curve, from (0, 0) with no threshold down to (1, 1)."""
     by_score = _by_score(df, score, label)
     reached = _running_counts(by_score, buckets)
@@ -112,7 +120,7 @@ def roc(df: DataFrame, score: str, label: str, buckets: int = BUCKETS) -> DataFr
     return start.unionByName(points)
 
 
-def auc(df: DataFrame, score: str, label: str, buckets: int = BUCKETS) -> DataFrame:
+def auc(df: DataFrame, score: str, label: str, buckets: int | None = None) -> DataFrame:
     """One row with the area under the curve; NULL if a class is missing.
 
     The area is the share of positive-negative pairs that the score ranks

@@ -8,10 +8,13 @@ split at run time. ``link_join`` can also salt.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import hash_bucket, link_key
+from opinara.operators.rates import tally
 
 
 def attach_labels(
@@ -40,6 +43,13 @@ def link_join(
     return salted.join(copies, matched, "inner").drop("_link", "_salt", "_copy")
 
 
+def linked_tally(
+    scored: DataFrame, submissions: DataFrame, measures: Mapping[str, str], prefix: str = "t3_"
+) -> DataFrame:
+    """Each submission with the tallied flags of its comments."""
+    return link_join(tally(scored, ["link_id"], measures), submissions, prefix)
+
+
 def rejoin_scores(
     scored: DataFrame, comments: DataFrame, submissions: DataFrame, prefix: str = "t3_"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ much of the table costs one row for each task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -43,14 +43,69 @@ def compare_subset(df: DataFrame, predicate: Column, measures: Mapping[str, str]
     return df.agg(*columns)
 
 
+def top_rates(
+    grouped: DataFrame, keys: Sequence[str], rate: str = "rate", k: int = 10, min_support: int = 1
+) -> DataFrame:
+    """The k rows with the highest rate among grouped rates; equal rates go by key."""
+    supported = grouped.where(F.col("support") >= F.lit(min_support))
+    ranked = [F.desc_nulls_last(rate), *[F.asc(key) for key in keys]]
+    return supported.orderBy(*ranked).limit(k)
+
+
 def top_groups(
     df: DataFrame, keys: Sequence[str], measure: str, k: int = 10, min_support: int = 1
 ) -> DataFrame:
-    """The k groups with the highest rate; equal rates go by key."""
+    """The k groups with the highest rate of the flag."""
     grouped = rates(df, keys, {"rate": measure}, support="support")
-    supported = grouped.where(F.col("support") >= F.lit(min_support))
-    ranked = [F.desc_nulls_last("rate"), *[F.asc(key) for key in keys]]
-    return supported.orderBy(*ranked).limit(k)
+    return top_rates(grouped, keys, "rate", k, min_support)
+
+
+def tally(df: DataFrame, keys: Keys, measures: Mapping[str, str]) -> DataFrame:
+    """Sums and counts of the flags by key, from which coarser rates follow.
+
+    Comments tallied by submission join as one row each instead of one for each
+    comment, so neither many comments nor a submission that holds a third of
+    them reach the join.
+    """
+    columns = [F.count("*").alias("n_rows")]
+    for name, flag in measures.items():
+        columns.append(F.sum(flag).alias(f"{name}_sum"))
+        columns.append(F.count(flag).alias(f"{name}_count"))
+    return df.groupBy(*keys).agg(*columns)
+
+
+def _tallied_rate(name: str, predicate: Column | None = None) -> Column:
+    def total(part: str) -> Column:
+        column = F.col(f"{name}_{part}")
+        return F.sum(column if predicate is None else F.when(predicate, column))
+
+    return F.try_divide(total("sum"), total("count"))
+
+
+def rates_of_tally(
+    tallied: DataFrame,
+    keys: Keys,
+    names: Iterable[str],
+    order: Sequence[Column] | None = None,
+    support: str | None = None,
+) -> DataFrame:
+    """``rates`` from tallied rows."""
+    columns = [_tallied_rate(name).alias(name) for name in names]
+    if support:
+        columns.append(F.sum("n_rows").alias(support))
+    grouped = tallied.groupBy(*keys).agg(*columns)
+    return grouped.orderBy(*order) if order else grouped
+
+
+def compare_subset_of_tally(
+    tallied: DataFrame, predicate: Column, names: Iterable[str]
+) -> DataFrame:
+    """``compare_subset`` from tallied rows, by a predicate on their keys."""
+    columns = []
+    for name in names:
+        columns.append(_tallied_rate(name, predicate).alias(f"{name}_subset"))
+        columns.append(_tallied_rate(name).alias(f"{name}_all"))
+    return tallied.agg(*columns)
 
 
 def stage_counts(df: DataFrame, flags: Sequence[str] = ()) -> DataFrame:

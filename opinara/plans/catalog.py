@@ -328,13 +328,15 @@ def join_rates(spark: SparkSession, sf: str) -> DataFrame:
             WHERE NOT body LIKE '%&gt;%' AND NOT body LIKE '%/s%'""",
 )
 def agg_stage_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """The last two stages come out of one join, which carries a flag, no text."""
+    """The last two stages come out of one join, of counts by submission."""
     comments, submissions = S.threads(spark, sf), S.submissions(spark, sf)
     labels = prep.slim(S.label_rows(spark, sf), {"Input_id": "iid"})
     flagged = comments.select(
         "link_id", prep.is_unmarked(F.col("body")).cast("int").alias("unmarked")
     )
-    linked = R.stage_counts(joins.link_join(flagged, submissions), ["unmarked"])
+    linked = joins.linked_tally(flagged, submissions, {"unmarked": "unmarked"}).agg(
+        F.sum("n_rows").alias("linked"), F.sum("unmarked_sum").alias("unmarked")
+    )
     counts = R.count_stages(
         {
             "comments": comments,
@@ -344,9 +346,7 @@ def agg_stage_counts(spark: SparkSession, sf: str) -> DataFrame:
         }
     )
     return counts.unionByName(
-        linked.withColumnRenamed("n_rows", "linked").unpivot(
-            [], ["linked", "unmarked"], "stage", "n_rows"
-        )
+        linked.unpivot([], ["linked", "unmarked"], "stage", "n_rows")
     )
 
 
@@ -392,6 +392,26 @@ def rate_by_comment_score(spark: SparkSession, sf: str) -> DataFrame:
     return R.rates(S.scored_events(spark, sf), ["com_score"], {"pos_percent": "pos"}, order)
 
 
+@query(
+    "rate_flag_vs_all",
+    f"""SELECT avg(pos) FILTER (WHERE lang = 'en') AS positive_subset, avg(pos) AS positive_all,
+               avg(neg) FILTER (WHERE lang = 'en') AS negative_subset, avg(neg) AS negative_all
+        FROM {O.SCORED_DOCUMENTS}""",
+)
+def rate_flag_vs_all(spark: SparkSession, sf: str) -> DataFrame:
+    return R.compare_subset(S.scored_documents(spark, sf), F.col("lang") == "en", report.BOTH)
+
+
+@query(
+    "topk_quantities",
+    f"""SELECT sub_score, sum(pos) / count(pos) AS rate, count(*) AS support
+        FROM {O.SCORED_LINES} GROUP BY 1 HAVING count(*) >= 2
+        ORDER BY rate DESC, sub_score LIMIT 10""",
+)
+def topk_quantities(spark: SparkSession, sf: str) -> DataFrame:
+    return R.top_groups(S.scored_lines(spark, sf), ["sub_score"], "pos", min_support=2)
+
+
 @query(
     "rate_by_submission_score",
     f"""SELECT sub_score, sum(neg) / count(neg) AS neg_percent FROM {O.SCORED_LINES}
@@ -401,13 +421,14 @@ def rate_by_submission_score(spark: SparkSession, sf: str) -> DataFrame:
     return R.rates(S.scored_lines(spark, sf), ["sub_score"], {"neg_percent": "neg"})
 
 
-def _linked_threads(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.link_join(S.scored_threads(spark, sf), S.submissions(spark, sf))
+def _tallied_threads(spark: SparkSession, sf: str) -> DataFrame:
+    scored, submissions = S.scored_threads(spark, sf), S.submissions(spark, sf)
+    return joins.linked_tally(scored, submissions, report.BOTH)
 
 
 @query("rate_by_story", O.both_rates("sub_score, title", O.LINKED_THREADS))
 def rate_by_story(spark: SparkSession, sf: str) -> DataFrame:
-    return R.rates(_linked_threads(spark, sf), ["sub_score", "title"], report.BOTH)
+    return R.rates_of_tally(_tallied_threads(spark, sf), ["sub_score", "title"], report.BOTH)
 
 
 @query(
@@ -416,8 +437,9 @@ def rate_by_story(spark: SparkSession, sf: str) -> DataFrame:
         FROM {O.LINKED_THREADS} WHERE title LIKE '%{TITLE_TERM}%'""",
 )
 def rate_title_match(spark: SparkSession, sf: str) -> DataFrame:
-    matching = _linked_threads(spark, sf).where(title_matches(F.col("title"), TITLE_TERM))
-    return R.rates(matching, [], {"pos_percent": "pos", "neg_percent": "neg"})
+    matching = _tallied_threads(spark, sf).where(title_matches(F.col("title"), TITLE_TERM))
+    rates = R.rates_of_tally(matching, [], report.BOTH)
+    return prep.slim(rates, {"positive": "pos_percent", "negative": "neg_percent"})
 
 
 @query(
@@ -425,8 +447,8 @@ def rate_title_match(spark: SparkSession, sf: str) -> DataFrame:
     O.both_rates("title", f"{O.LINKED_THREADS} WHERE title LIKE '%{TITLE_TERM}%'"),
 )
 def rate_per_title(spark: SparkSession, sf: str) -> DataFrame:
-    matching = _linked_threads(spark, sf).where(title_matches(F.col("title"), TITLE_TERM))
-    return R.rates(matching, ["title"], report.BOTH)
+    matching = _tallied_threads(spark, sf).where(title_matches(F.col("title"), TITLE_TERM))
+    return R.rates_of_tally(matching, ["title"], report.BOTH)
 
 
 @query(
@@ -438,7 +460,7 @@ def rate_per_title(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rate_subset_vs_all(spark: SparkSession, sf: str) -> DataFrame:
     match = title_matches(F.col("title"), TITLE_TERM)
-    return R.compare_subset(_linked_threads(spark, sf), match, report.BOTH)
+    return R.compare_subset_of_tally(_tallied_threads(spark, sf), match, report.BOTH)
 
 
 def _top_sql(support: int) -> str:
@@ -447,15 +469,24 @@ def _top_sql(support: int) -> str:
         ORDER BY rate DESC, title, sub_score LIMIT 10"""
 
 
+def _top_stories(spark: SparkSession, sf: str, min_support: int) -> DataFrame:
+    keys = ["title", "sub_score"]
+    stories = R.rates_of_tally(
+        _tallied_threads(spark, sf), keys, ["negative"], support="support"
+    )
+    return R.top_rates(
+        stories.withColumnRenamed("negative", "rate"), keys, min_support=min_support
+    )
+
+
 @query("topk_stories", _top_sql(1))
 def topk_stories(spark: SparkSession, sf: str) -> DataFrame:
-    return R.top_groups(_linked_threads(spark, sf), ["title", "sub_score"], "neg")
+    return _top_stories(spark, sf, min_support=1)
 
 
 @query("topk_stories_supported", _top_sql(3))
 def topk_stories_supported(spark: SparkSession, sf: str) -> DataFrame:
-    stories = _linked_threads(spark, sf)
-    return R.top_groups(stories, ["title", "sub_score"], "neg", min_support=3)
+    return _top_stories(spark, sf, min_support=3)
 
 
 # Text
@@ -694,8 +725,19 @@ def end_to_end_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Train on labelled documents, score all threads, report rates by story."""
     fitted, _ = _trained(spark, sf)
     comments = spread(S.threads(spark, sf))
-    scored = flows.score_comments(comments, S.submissions(spark, sf), fitted)
-    return R.rates(scored, ["sub_score", "title"], report.BOTH, support="n_comments")
+    flagged = flows.flag_comments(comments, fitted)
+    tallied = joins.linked_tally(flagged, S.submissions(spark, sf), report.BOTH)
+    return R.rates_of_tally(
+        tallied, ["sub_score", "title"], report.BOTH, support="n_comments"
+    )
+
+
+@query("flow_scored_comments")
+def flow_scored_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """Every filtered thread comment with both predictions and its submission."""
+    fitted, _ = _trained(spark, sf)
+    comments = spread(S.threads(spark, sf))
+    return flows.score_comments(comments, S.submissions(spark, sf), fitted)
 
 
 # Evaluation
@@ -846,7 +888,8 @@ def sql_surface_daily(spark: SparkSession, sf: str) -> DataFrame:
         GROUP BY sub_score, title ORDER BY neg_percent DESC, title, sub_score LIMIT 10""",
 )
 def sql_surface_title(spark: SparkSession, sf: str) -> DataFrame:
-    sql.register_views(spark, {"scored": _linked_threads(spark, sf)})
+    linked = joins.link_join(S.scored_threads(spark, sf), S.submissions(spark, sf))
+    sql.register_views(spark, {"scored": linked})
     return spark.sql(
         f"""SELECT title, sub_score, sum(neg) / count(neg) AS neg_percent
             FROM scored WHERE title LIKE '%{TITLE_TERM}%'

@@ -36,7 +36,7 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("buckets", [3, evaluate.BUCKETS])
+@pytest.mark.parametrize("buckets", [3, None])
 def test_area_and_points(spark, name, buckets):
     pairs = CASES[name]
     df = frame(spark, pairs)

@@ -4,6 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.operators import joins
+from opinara.operators.rates import (
+    compare_subset,
+    compare_subset_of_tally,
+    rates,
+    rates_of_tally,
+)
+from opinara.operators.report import BOTH
 
 
 @pytest.fixture
@@ -67,6 +74,26 @@ def test_salted_join_gives_the_same_rows(spark, no_broadcast):
     assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
 
 
+def test_tallied_join_gives_the_rates_of_the_rows(spark):
+    """Also where a submission occurs twice and where a flag is missing."""
+    scored = _hot_comments(spark).select(
+        "link_id",
+        F.when(F.col("id") % 7 != 0, (F.col("id") % 2).cast("double")).alias("pos"),
+        (F.col("id") % 5 == 0).cast("double").alias("neg"),
+    )
+    twice = _submissions(spark).union(_submissions(spark).where("sub_id IN ('hot', '3')"))
+    keys = [F.length("title").alias("n")]
+    rows = rates(joins.link_join(scored, twice), keys, BOTH, support="support")
+    tallied = joins.linked_tally(scored, twice, BOTH)
+    from_tally = rates_of_tally(tallied, keys, BOTH, support="support")
+    assert set(map(tuple, rows.collect())) == set(map(tuple, from_tally.collect()))
+    hot = F.contains("title", F.lit("hot"))
+    assert (
+        compare_subset(joins.link_join(scored, twice), hot, BOTH).first()
+        == compare_subset_of_tally(tallied, hot, BOTH).first()
+    )
+
+
 def test_small_submissions_are_broadcast(spark):
     path = "/root/testdata/sf0.01/conversations.parquet"
     turns = spark.read.parquet(path).withColumnRenamed("text", "title")

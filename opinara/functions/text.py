@@ -38,6 +38,41 @@ _WORD = r"\p{L}\p{N}_" + "\U00010000"
 _DIGIT = r"[\p{Nd}" + "\U0001d7ce]"
 _OTHER = f"[^{KEPT_SYMBOLS}{_WORD}]"
 
+REPEATED_MARK = r"([.!?,])\1+"
+# A line break or tab, or a URL with the bracket before it up to the next space.
+# The look-ahead only saves time: it passes by most characters with one check.
+BREAK_OR_URL = rf"(?=[\r\n\t(hw])(?:[\r\n\t]|\(?(?:https?://|www\.)[^{_SPACE}]*)"
+DETACHED_MARK = rf"([{MARKS}])(?= |\z)"
+# Other symbols go unless one stands alone between two word characters and is no
+# opening bracket; "$" goes without a digit after it, "%" without one before it.
+# A run of what goes is one match. The repeated group is possessive, which Java
+# matches in a loop; otherwise it would recurse once for each symbol of the run.
+# The look-ahead only saves time: it passes by letters, digits and single spaces
+# before them, which a match would replace by a space again.
+_STRAY_SIGN = rf"\$(?!{_DIGIT})|%(?<!{_DIGIT}%)"
+_GOES = f"(?:{_OTHER}|{_STRAY_SIGN})"
+STRAY_SYMBOLS = (
+    r"(?! ?+[\p{L}\p{N}])"
+    rf"(?:{_OTHER}(?:{_GOES}++|(?![{_WORD}])|(?<![{_WORD}]{_OTHER}))"
+    rf"|\(|(?:{_STRAY_SIGN}){_GOES}*+)"
+)
+SPACES = (
+    [chr(c) for c in range(0x09, 0x0E)]
+    + [chr(c) for c in range(0x1C, 0x21)]
+    + [chr(0x85), chr(0xA0), chr(0x1680)]
+    + [chr(c) for c in range(0x2000, 0x200B)]
+    + [chr(c) for c in (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+)
+
+# The same set as a character class.
+_SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
+# Python's \w and \d, spelt with the classes that agree with it in Java. Each also
+# names a letter or digit beyond U+FFFF, which it holds anyway: Java's look-behind
+# steps over whole code points only if the pattern holds one literally.
+_WORD = r"\p{L}\p{N}_" + "\U00010000"
+_DIGIT = r"[\p{Nd}" + "\U0001d7ce]"
+_OTHER = f"[^{KEPT_SYMBOLS}{_WORD}]"
+
 REPEATED_MARK = r"([.!?,])\1+"
 URL = rf"\(?(?:https?://|www\.)[^{_SPACE}]*"
 DETACHED_MARK = rf"([{MARKS}])(?= |\z)"
@@ -54,14 +89,12 @@ TO_THE_END = 2**30
 
 def normalise(col: Column) -> Column:
     """Lower-cased text without URLs and stray symbols, end marks set apart."""
-    text = F.regexp_replace(col, r"[\r\n\t]", " ")
-    text = F.regexp_replace(text, REPEATED_MARK, " $1 ")
-    text = F.regexp_replace(text, URL, " ")
+    text = F.regexp_replace(col, REPEATED_MARK, " $1 ")
+    text = F.regexp_replace(text, BREAK_OR_URL, " ")
     text = F.trim(text, F.lit("".join(UNICODE_SPACES)))
     text = F.regexp_replace(text, DETACHED_MARK, " $1 ")
-    text = F.regexp_replace(text, STRAY_SYMBOL, " ")
-    text = F.trim(F.translate(text, "(", " "))
-    return F.lower(F.regexp_replace(text, " {2,}", " "))
+    text = F.regexp_replace(text, STRAY_SYMBOLS, " ")
+    return F.lower(F.trim(text))
 
 
 def unigrams_of(normalised: Column) -> Column:
@@ -85,18 +118,23 @@ def segment_words_of(normalised: Column) -> Column:
     return F.transform(parts, lambda word: F.when(~word.isin(*MARKS), word))
 
 
-def ngrams_of(segment_words: Column, n: int) -> Column:
-    """The n-grams, joined by ``_``, as an array.
+def extend_grams(grams: Column, segment_words: Column, n: int) -> Column:
+    """From the (n-1)-gram starting at each word to the n-gram starting there.
 
-    Pairing the words with themselves shifted by one joins neighbours; a NULL
-    on either side, for a lone mark or the end of the text, gives NULL and goes.
+    The n-th word on is the same array shifted; a NULL on either side, for a
+    lone mark or the end of the text, gives NULL.
     """
+    following = F.slice(segment_words, n, TO_THE_END)
+    return F.zip_with(grams, following, lambda gram, word: F.concat(gram, F.lit("_"), word))
+
+
+def ngrams_of(segment_words: Column, n: int) -> Column:
+    """The n-grams, joined by ``_``, as an array."""
     if n < 2:
         raise ValueError("n must be at least 2")
     grams = segment_words
-    for position in range(2, n + 1):
-        following = F.slice(segment_words, position, TO_THE_END)
-        grams = F.zip_with(grams, following, lambda gram, word: F.concat(gram, F.lit("_"), word))
+    for step in range(2, n + 1):
+        grams = extend_grams(grams, segment_words, step)
     return F.array_compact(grams)
 
 

@@ -23,12 +23,14 @@ def with_text(df: DataFrame, body: str = "body", parts: Sequence[str] = ("words"
         raise ValueError(f"unknown text parts: {sorted(unknown)}")
     kept = [F.col(c) for c in df.columns]
     normalised, segment_words = F.col("_norm"), F.col("_segment_words")
-    bigrams, trigrams = F.col("_bigrams"), F.col("_trigrams")
+    pairs, bigrams, trigrams = F.col("_pairs"), F.col("_bigrams"), F.col("_trigrams")
+    triples = T.extend_grams(pairs, segment_words, 3)
     staged = (
         df.withColumn("_norm", T.normalise(F.col(body)))
         .withColumn("_segment_words", T.segment_words_of(normalised))
-        .withColumn("_bigrams", T.ngrams_of(segment_words, 2))
-        .withColumn("_trigrams", T.ngrams_of(segment_words, 3))
+        .withColumn("_pairs", T.extend_grams(segment_words, segment_words, 2))
+        .withColumn("_bigrams", F.array_compact(pairs))
+        .withColumn("_trigrams", F.array_compact(triples))
     )
     unigrams = T.unigrams_of(normalised)
     derived: dict[str, Column] = {

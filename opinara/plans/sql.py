@@ -35,14 +35,11 @@ def register_functions(spark: SparkSession) -> None:
     than once is the parameter of a function of its own, so it is computed once.
     """
     spaces = "".join(f"\\u{ord(c):04x}" for c in T.UNICODE_SPACES)
-    text = _replace("body", r"[\r\n\t]", " ")
-    text = _replace(text, T.REPEATED_MARK, " $1 ")
-    text = _replace(text, T.URL, " ")
+    text = _replace("body", T.REPEATED_MARK, " $1 ")
+    text = _replace(text, T.BREAK_OR_URL, " ")
     text = f'trim(BOTH "{spaces}" FROM {text})'
     text = _replace(text, T.DETACHED_MARK, " $1 ")
-    text = _replace(text, T.STRAY_SYMBOL, " ")
-    text = f'trim(translate({text}, "(", " "))'
-    text = f'lower({_replace(text, " {2,}", " ")})'
+    text = f'lower(trim({_replace(text, T.STRAY_SYMBOLS, " ")}))'
     unigrams = _replace(_replace("normalised", " [.!?,;:] ", " "), r" [.!?,;:]\z", "")
     marks = ", ".join(f'"{mark}"' for mark in T.MARKS)
     segments = (

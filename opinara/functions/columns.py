@@ -66,7 +66,7 @@ def positive_probability(col: Column) -> Column:
 def hash_bucket(col: Column, buckets: int, seed: int = 0) -> Column:
     """Bucket number from the value alone.
 
-    Unlike ``rand`` it gives the same bucket when a lost partition is computed
+    NULL counts as the empty text. Unlike ``rand`` it gives the same bucket when a lost partition is computed
     again, after a repartition, and in any other engine that has MD5.
     """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), col.cast("string")))

@@ -10,7 +10,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import hash_bucket, positive_probability
@@ -54,6 +54,11 @@ def _classifier(target: Target, max_iter: int) -> LogisticRegression:
     )
 
 
+def fold_of(key: str, folds: int = FOLDS, seed: int = SEED) -> Column:
+    """The cross-validation fold of a row, by its key's hash."""
+    return F.coalesce(hash_bucket(F.col(key), folds, seed + 1), F.lit(0))
+
+
 def cross_validate(
     features: DataFrame,
     target: Target,
@@ -80,9 +85,7 @@ def cross_validate(
         foldCol="fold",
         parallelism=parallelism,
     )
-    rows = features.select(
-        "features", target.label, hash_bucket(F.col(key), folds, seed + 1).alias("fold")
-    )
+    rows = features.select("features", target.label, fold_of(key, folds, seed).alias("fold"))
     return validator.fit(rows)
 
 

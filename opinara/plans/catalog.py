@@ -696,6 +696,37 @@ def ml_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "ml_folds",
+    f"""SELECT CAST(doc_id AS VARCHAR) AS id,
+               CAST({O.hash_bucket("doc_id", models.FOLDS, models.SEED + 1)} AS INTEGER) AS fold
+        FROM labels""",
+)
+def ml_folds(spark: SparkSession, sf: str) -> DataFrame:
+    labels = S.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    return labels.withColumn("fold", models.fold_of("id"))
+
+
+_HELD_OUT = f"""(SELECT CAST(doc_id AS VARCHAR) AS id FROM labels JOIN documents USING (doc_id)
+                 WHERE NOT {_HALF})"""
+
+
+@query(
+    "ml_threshold_rule",
+    f"SELECT id, TRUE AS pos_as_ruled, TRUE AS neg_as_ruled FROM {_HELD_OUT}",
+)
+def ml_threshold_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each held-out prediction is 1 just where its probability is above the bound."""
+    scored = _held_out_scores(spark, sf)
+    rules = [
+        ((F.col(name) == 1) == (F.col(f"{name}_probability") > target.threshold)).alias(
+            f"{name}_as_ruled"
+        )
+        for name, target in models.TARGETS.items()
+    ]
+    return scored.select("id", *rules)
+
+
 @query("ml_score")
 def ml_score(spark: SparkSession, sf: str) -> DataFrame:
     """Every document scored by both models."""
@@ -709,15 +740,16 @@ def score_probability(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("id", "pos_probability", "poslabel", "neg_probability", "neglabel")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", f"SELECT id, TRUE AS same FROM {_HELD_OUT}")
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Held-out scores of a saved and loaded model; they equal those before."""
+    """Whether a saved and loaded model scores each held-out row as before."""
     fitted, held_out = _trained(spark, sf, ("pos",))
     path = scratch_path(spark, "model")
     save_model(fitted["pos"], path)
     both = {"before": fitted["pos"], "after": load_model(path)}
-    scored = models.score(held_out, both).drop("words")
-    return models.with_probability(scored, ["before", "after"])
+    scored = models.with_probability(models.score(held_out, both), both)
+    same = F.struct("before", "before_probability") == F.struct("after", "after_probability")
+    return scored.select("id", same.alias("same"))
 
 
 @query("end_to_end_rates")

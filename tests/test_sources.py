@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from opinara import sources
 from opinara.session import materialise, shared_dir
+from opinara.sources import spread
 from opinara.sources import schemas
 
 
@@ -77,3 +78,27 @@ def test_materialise_writes_to_the_shared_folder(spark):
     assert written.inputFiles()[0].startswith(("file:", "/"))
     assert shared_dir(spark).removeprefix("file:") in written.inputFiles()[0]
     assert written.count() == 10
+
+
+class Cluster:
+    """What ``shared_dir`` asks of a session."""
+
+    def __init__(self, named, known, master):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master = master
+        self.getCheckpointDir = lambda: known
+
+
+def test_shared_folder_is_the_cluster_s():
+    assert shared_dir(Cluster("hdfs:///shared/", None, "yarn")) == "hdfs:///shared"
+    assert shared_dir(Cluster(None, "hdfs:///set/in/code", "yarn")) == "hdfs:///set/in/code"
+    with pytest.raises(ValueError):
+        shared_dir(Cluster(None, None, "yarn"))
+
+
+def test_spread_leaves_tables_with_enough_parts(spark):
+    cores = spark.sparkContext.defaultParallelism
+    enough, few = spark.range(0, 100, 1, cores), spark.range(0, 100, 1, 1)
+    assert spread(enough) is enough
+    assert spread(few).rdd.getNumPartitions() == cores

@@ -44,10 +44,11 @@ def _term_counts(df: DataFrame, words: str) -> DataFrame:
             word.alias("term"), (~word.eqNullSafe(before)).cast("int").alias("first")
         ),
     )
+    # The lambda in a projection of its own leaves the explode to generated code.
+    words_with_mark = ordered.select(marked.alias("_marked")).select(F.inline_outer("_marked"))
     return (
-        ordered.select(F.explode_outer(marked).alias("_word"))
-        .groupBy(F.col("_word.term").alias("term"))
-        .agg(F.sum("_word.first").alias("doc_freq"), F.count("*").alias("term_count"))
+        words_with_mark.groupBy("term")
+        .agg(F.sum("first").alias("doc_freq"), F.count("*").alias("term_count"))
         .where(F.col("term").isNotNull())
     )
 

@@ -54,20 +54,23 @@ def intensity(col: Column, lo: float, hi: float, clamp: bool = True) -> Column:
     """
     share = (col - F.lit(lo)) / F.lit(hi - lo)
     if clamp:
-        share = F.when(col.isNotNull(), F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)))
+        inside = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+        share = F.when(col.isNotNull(), inside)
     return F.lit(1.0) - F.sqrt(share)
 
 
 def positive_probability(col: Column) -> Column:
     """Probability of class 1 out of a classifier's probability vector."""
-    return F.get(vector_to_array(col), F.lit(1))
+    return F.when(col.isNotNull(), F.get(vector_to_array(col), F.lit(1)))
 
 
 def hash_bucket(col: Column, buckets: int, seed: int = 0) -> Column:
     """Bucket number from the value alone.
 
-    NULL counts as the empty text. Unlike ``rand`` it gives the same bucket when a lost partition is computed
-    again, after a repartition, and in any other engine that has MD5.
+    Unlike ``rand`` it gives the same bucket when a lost partition is computed
+    again, after a repartition, and in any other engine that has MD5. NULL has a
+    bucket too.
     """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), col.cast("string")))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return F.pmod(number, F.lit(buckets)).cast("int")

@@ -19,7 +19,7 @@ from opinara.functions import hash_bucket, positive_probability
 MAX_ITERATIONS = 10
 REG_PARAMS = (1.0,)
 FOLDS = 5
-SEED = 143
+SEED = 17
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,7 @@ def hash_split(
 ) -> tuple[DataFrame, DataFrame]:
     """Two disjoint parts by the key's hash; the same key always goes the same way."""
     steps = 10_000
-    bucket = hash_bucket(F.col(key), steps, seed)
-    chosen = F.coalesce(bucket, F.lit(0)) < F.lit(round(fraction * steps))
+    chosen = hash_bucket(F.col(key), steps, seed) < F.lit(round(fraction * steps))
     return df.where(chosen), df.where(~chosen)
 
 
@@ -56,7 +55,7 @@ def _classifier(target: Target, max_iter: int) -> LogisticRegression:
 
 def fold_of(key: str, folds: int = FOLDS, seed: int = SEED) -> Column:
     """The cross-validation fold of a row, by its key's hash."""
-    return F.coalesce(hash_bucket(F.col(key), folds, seed + 1), F.lit(0))
+    return hash_bucket(F.col(key), folds, seed + 1)
 
 
 def cross_validate(
@@ -114,10 +113,12 @@ def train(
 def score(df: DataFrame, models: Mapping[str, PipelineModel], words: str = "words") -> DataFrame:
     """Add each model's 0.0/1.0 prediction, and its probability vector, in one pass.
 
-    Models with the same fitted vectoriser share the vectors too.
+    Models with the same fitted vectoriser share the vectors too. Rows without
+    words get no prediction.
     """
     kept = [F.col(c) for c in df.columns]
-    scored = df
+    has_words = F.col(words).isNotNull()
+    scored = df.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
     vectors: dict[str, str] = {}
     added = []
     for name, model in models.items():
@@ -125,7 +126,7 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], words: str = "word
         fitted = vectoriser.uid
         if fitted not in vectors:
             vectors[fitted] = f"_features_{len(vectors)}"
-            columns = {vectoriser.inputCol: words, vectoriser.outputCol: vectors[fitted]}
+            columns = {vectoriser.inputCol: "_words", vectoriser.outputCol: vectors[fitted]}
             scored = vectoriser.copy(columns).transform(scored)
         columns = {
             classifier.featuresCol: vectors[fitted],
@@ -134,7 +135,10 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], words: str = "word
             classifier.predictionCol: name,
         }
         scored = classifier.copy(columns).transform(scored)
-        added += [F.col(name), F.col(f"{name}_probability")]
+        added += [
+            F.when(has_words, F.col(column)).alias(column)
+            for column in (name, f"{name}_probability")
+        ]
     return scored.select(*kept, *added)
 
 

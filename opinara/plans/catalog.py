@@ -731,7 +731,8 @@ def ml_threshold_rule(spark: SparkSession, sf: str) -> DataFrame:
 def ml_score(spark: SparkSession, sf: str) -> DataFrame:
     """Every document scored by both models."""
     fitted, _ = _trained(spark, sf)
-    return models.score(with_words(spread(S.comments(spark, sf))), fitted).select("id", "pos", "neg")
+    worded = with_words(spread(S.comments(spark, sf)))
+    return models.score(worded, fitted).select("id", "pos", "neg")
 
 
 @query("score_probability")

@@ -135,7 +135,9 @@ LINKED_THREADS = f"""(
     SELECT * FROM {SCORED_THREADS} c JOIN {SUBMISSIONS} s ON c.link_id = 't3_' || s.sub_id)"""
 
 
-def both_rates(key: str, source: str, positive: str = "positive", negative: str = "negative") -> str:
+def both_rates(
+    key: str, source: str, positive: str = "positive", negative: str = "negative"
+) -> str:
     return (
         f"SELECT {key}, sum(pos) / count(pos) AS {positive}, "
         f"sum(neg) / count(neg) AS {negative} FROM {source} GROUP BY ALL"

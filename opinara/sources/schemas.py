@@ -22,4 +22,3 @@ LABELS = _struct(
     labelgop=T.StringType(),
     labeldjt=T.StringType(),
 )
-ROC_INPUT = _struct(score=T.DoubleType(), label=T.DoubleType())

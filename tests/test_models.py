@@ -126,3 +126,30 @@ def test_scoring_before_the_join_gives_the_joined_rows(spark, trained):
     assert rows == [
         ("1", 1.0, 0.0, "title a"), ("1", 1.0, 0.0, "title b"), ("2", 0.0, 1.0, "title a"),
     ]
+
+
+def test_no_text_goes_through_the_join(spark, trained):
+    fitted, _ = trained
+    rows = [(str(i), f"good day {i}", "t3_a") for i in range(100)]
+    comments = spark.createDataFrame(rows, "id string, body string, link_id string")
+    submissions = spark.createDataFrame(
+        [("a", "title", 1)], "sub_id string, title string, sub_score long"
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = flows.score_comments(comments, submissions, fitted)
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert len(below) == 2
+    assert not any("body" in line or "_words" in line or "_features" in line.split(" AS ")[-1]
+                   for line in below)
+
+
+def test_rows_without_words_get_no_prediction(spark, trained):
+    fitted, _ = trained
+    df = spark.createDataFrame([(["good"],), (None,)], "words array<string>")
+    rows = models.with_probability(models.score(df, fitted), fitted).collect()
+    assert [row.pos is None and row.neg_probability is None for row in rows] == [False, True]

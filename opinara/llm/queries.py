@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import mixing, token_records
+from opinara.llm import mixing, near_dup, quality_rules, token_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_near_dup")
+def op1_near_dup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf), shingle=4)
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf))
+
+
 # Every block is taken as often as slots rank onto it; the rest is that rule in other words.
 _MIX = rf"""
 WITH sized AS (

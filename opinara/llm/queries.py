@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import mixing, near_dup, quality_rules, token_records
+from opinara.llm import log_bilinear, mixing, near_dup, quality_rules, token_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,3 +107,8 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_token_records")
 def op7_token_records(spark: SparkSession, sf: str) -> DataFrame:
     return token_records.encoded_documents(documents(spark, sf), tokenizer_path())
+
+
+@query("op8_log_bilinear")
+def op8_log_bilinear(spark: SparkSession, sf: str) -> DataFrame:
+    return log_bilinear.score_texts(documents(spark, sf))

@@ -260,7 +260,7 @@ def _pairs(rest: DataFrame, signatures: DataFrame, near: float) -> DataFrame:
     such pairs are left out without a loss.
     """
     few = _across(rest.where(F.col("n") <= DENSE), "key", near)
-    dense = rest.where(F.col("n") > DENSE).groupBy("id").agg(F.first("component").alias("component"))
+    dense = _without_settled(rest.where(F.col("n") > DENSE), near).groupBy("id").agg(F.first("component").alias("component"))
     keys, schema = _order_keys((DEEP, DEEPEST), HASHES)
     deep = materialise(
         signatures.join(dense.select("id"), "id").select("id", "signature").mapInArrow(keys, schema)
@@ -277,6 +277,21 @@ def _pairs(rest: DataFrame, signatures: DataFrame, near: float) -> DataFrame:
     return few.unionByName(middle).unionByName(deepest).distinct()
 
 
+def _without_settled(dense: DataFrame, near: float) -> DataFrame:
+    """Dense regions without the members that cannot have a link to another component.
+
+    Those linked to the region's first are in its component, and only one of
+    another component that is within twice the linking distance can link to them.
+    """
+    first = F.max(F.when(F.col("id") == F.col("leader"), F.col("component"))).alias("_first")
+    firsts = dense.groupBy("key").agg(first)
+    placed = dense.join(firsts, "key")
+    within = (F.col("component") != F.col("_first")) & (F.col("similarity") >= 2 * near - 1)
+    reached = placed.groupBy("key").agg(F.max(within).alias("_reached"))
+    needed = (F.col("similarity") < near) | F.col("_reached")
+    return placed.join(reached, "key").where(needed).select("id", "component")
+
+
 def _across(rest: DataFrame, key: str, near: float | None = None) -> DataFrame:
     condition = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
     if near is not None:

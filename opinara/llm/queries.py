@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import log_bilinear, mixing, near_dup, quality_rules, token_records
+from opinara.llm import decontaminate, log_bilinear, mixing, near_dup, quality_rules, token_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,3 +112,9 @@ def op7_token_records(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_log_bilinear")
 def op8_log_bilinear(spark: SparkSession, sf: str) -> DataFrame:
     return log_bilinear.score_texts(documents(spark, sf))
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf), benchmark)

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -46,8 +47,13 @@ from opinara.session import scratch_path
 
 SHARD_BYTES = 16 << 20
 END_ID = 1
-# Distinct words whose IDs a task remembers.
+# Distinct words, and stems of words, whose IDs a worker remembers.
 REMEMBERED_WORDS = 400_000
+# Texts encoded at a time.
+TEXTS = 1024
+# Marks that never join the letters before them; the apostrophe may.
+MARKS = b"!#$%&()*+,-./:;<=>?@[]^_`{|}~"
+LETTER_BYTES = frozenset(bytes([b]) for b in b"abcdefghijklmnopqrstuvwxyz")
 # Fixed value: what the mask adds.
 MASK_DELTA = 0xA282EAD8
 
@@ -98,33 +104,89 @@ class Encoder:
     """Token IDs of texts, as little-endian unsigned integers.
 
     The tokenizer drops white space and never joins what it separates, so a
-    text's IDs are its words' IDs in order, and each word is encoded once for as
-    long as it is remembered.
+    text's IDs are its words' IDs in order. It lowers case and parts letters from
+    other marks, so a word that ends in a lower-case ASCII letter and then ASCII
+    marks has the IDs of its stem and of the marks. Each stem is encoded once for
+    as long as it is remembered, and stems of letters alone many at a time: each
+    is one piece, whose last token carries the end-of-word suffix.
     """
 
+    # What a Python worker remembers, kept from task to task.
+    shared: dict[tuple[str, int], Encoder] = {}
+
     def __init__(self, path: str, width: int):
-        self.kind = f"<u{width}"
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.kind = np.dtype(f"<u{width}")
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
+        ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            ends[number] = token.endswith("</w>")
+        self.closes, self.known, self.coded = ends, {}, {}
+
+    @classmethod
+    def of(cls, path: str, width: int) -> Encoder:
+        if (path, width) not in cls.shared:
+            cls.shared[path, width] = cls(path, width)
+        return cls.shared[path, width]
+
+    def learn(self, stems: set[bytes]) -> None:
+        new = stems - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED_WORDS:
             self.known = {}
-            new = list(words)
-        texts = [w.decode("utf-8", "replace") for w in new]
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        for word, encoded in zip(new, found, strict=True):
-            self.known[word] = np.array(encoded.ids, dtype=self.kind).tobytes()
+            new = stems
+        single, other = [], []
+        for stem in new:
+            held = stem.decode("utf-8", "replace")
+            plain = held.isalpha() and (
+                stem[:1] in LETTER_BYTES
+                if held.isascii()
+                else held == held.lower() and unicodedata.is_normalized("NFC", held)
+            )
+            (single if plain else other).append(stem)
+        encode, width = self.tokenizer.encode_batch_fast, self.kind.itemsize
+        for low in range(0, len(single), 256):
+            part = single[low : low + 256]
+            (found,) = encode([b" ".join(part).decode()], add_special_tokens=False)
+            ids = np.array(found.ids)
+            packed = ids.astype(self.kind).tobytes()
+            begin = 0
+            cuts = (np.flatnonzero(self.closes[ids]) + 1) * width
+            for stem, end in zip(part, cuts.tolist(), strict=True):
+                self.known[stem] = packed[begin:end]
+                begin = end
+        for low in range(0, len(other), 4096):
+            part = other[low : low + 4096]
+            texts = [stem.decode("utf-8", "replace") for stem in part]
+            found = encode(texts, add_special_tokens=False)
+            for stem, encoded in zip(part, found, strict=True):
+                self.known[stem] = np.asarray(encoded.ids, dtype=self.kind).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]
-        self.learn(set().union(*split) if split else set())
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        every = set().union(*split)
+        new = every - self.coded.keys()
+        if len(self.coded) + len(new) > REMEMBERED_WORDS:
+            self.coded = {}
+            new = every
+        parts = []
+        for word in new:
+            if b"<|" in word:  # may hold a special token, so it stays whole
+                parts.append((word, word, b""))
+                continue
+            lower = word.lower()
+            stem = lower.rstrip(MARKS)
+            if stem == lower or stem[-1:] not in LETTER_BYTES:
+                parts.append((word, lower, b""))
+            else:
+                parts.append((word, stem, lower[len(stem) :]))
+        self.learn({stem for _, stem, _ in parts} | {marks for _, _, marks in parts if marks})
+        known = self.known
+        for word, stem, marks in parts:
+            self.coded[word] = known[stem] + known[marks] if marks else known[stem]
+        get = self.coded.__getitem__
+        return [b"".join(map(get, held)) for held in split]
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -195,17 +257,17 @@ def write_records(
     ending = np.array([end_id], dtype=f"<u{width}").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = Encoder(tokenizer, width), None
+        encoder, writer = Encoder.of(tokenizer, width), None
         for batch in batches:
             if writer is None:
                 writer = _ShardWriter(folder, TaskContext.get().partitionId(), width)
             keys = batch.column(0).to_pylist()
             column = batch.column(1)
             out: list[tuple] = []
-            for low in range(0, len(keys), 256):
-                texts = [t or b"" for t in column.slice(low, 256).to_pylist()]
+            for low in range(0, len(keys), TEXTS):
+                texts = [t or b"" for t in column.slice(low, TEXTS).to_pylist()]
                 coded = encoder.encode(texts)
-                for k, ids in zip(keys[low : low + 256], coded, strict=True):
+                for k, ids in zip(keys[low : low + TEXTS], coded, strict=True):
                     name, at = writer.add(k, ids + ending)
                     out.append((name, k, at, len(ids) // width + 1))
             yield pa.RecordBatch.from_arrays(

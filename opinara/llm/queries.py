@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import decontaminate, log_bilinear, mixing, near_dup, quality_rules, token_records
+from opinara.llm import (
+    decontaminate,
+    line_dedup,
+    log_bilinear,
+    mixing,
+    near_dup,
+    quality_lm,
+    quality_rules,
+    token_records,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,3 +127,13 @@ def op8_log_bilinear(spark: SparkSession, sf: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
     return decontaminate.contaminated(documents(spark, sf), benchmark)
+
+
+@query("op5_line_dedup")
+def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.removed_lines(documents(spark, sf))
+
+
+@query("op6_quality_lm")
+def op6_quality_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_lm.judge(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))

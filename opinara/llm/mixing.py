@@ -57,8 +57,9 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, repeats: f
     Weights go to the sources by code point, null last, and repeat. A source
     stops at ``repeats`` times its size, and what it leaves goes to the others by
     weight. Sources in the order of the level at which they fill up make that a
-    running sum: a source is full if its bound is below the level that the rest
-    would reach without it. One row for each source.
+    running sum: the first source whose bound is not below the level that it and
+    the later ones would share sets that level, the highest of those that hold;
+    the sources before it are full. One row for each source.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     by_level = Window.orderBy("_level", "source_no")
@@ -78,7 +79,7 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, repeats: f
     )
     left = F.col("_wanted") - F.coalesce(F.sum("_bound").over(before), F.lit(0.0))
     reached = bounded.withColumn("_reached", left / F.sum("_weight").over(after))
-    level = F.min(F.when(F.col("_level") >= F.col("_reached"), F.col("_reached"))).over(everything)
+    level = F.max(F.when(F.col("_level") >= F.col("_reached"), F.col("_reached"))).over(everything)
     target = F.least(F.col("_bound"), F.coalesce(level, F.lit(float("inf"))) * F.col("_weight"))
     return reached.select("source", "source_no", "source_size", target.alias("target"))
 
@@ -194,7 +195,7 @@ def mix(
     begin, end = F.col("position"), F.col("position") + F.col("size")
     first = F.expr("cast(floor(cast(position as decimal(38,0)) * _blocks / source_size) as bigint)")
     last = F.expr(
-        "cast(floor(cast(position + size - 1 as decimal(38,0)) * _blocks / source_size) as bigint)"
+        "cast(floor(cast(position + size as decimal(38,0)) * _blocks / source_size) as bigint)"
     )
     pieces = placed.where((F.col("size") > 0) & F.col("_blocks").isNotNull()).select(
         "source_no", "source_size", "position", "size", "_blocks",

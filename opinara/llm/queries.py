@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opinara.llm import (
     decontaminate,
@@ -15,6 +16,7 @@ from opinara.llm import (
     quality_lm,
     quality_rules,
     token_records,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +78,7 @@ reached AS (
     FROM bounded),
 targeted AS (
     SELECT source, source_no, source_size,
-           least(bound, coalesce(min(CASE WHEN bound / w >= level THEN level END) OVER (),
+           least(bound, coalesce(max(CASE WHEN bound / w >= level THEN level END) OVER (),
                                  'inf'::DOUBLE) * w) AS target
     FROM reached),
 cut AS (
@@ -137,3 +139,15 @@ def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_quality_lm")
 def op6_quality_lm(spark: SparkSession, sf: str) -> DataFrame:
     return quality_lm.judge(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+@query("op4_warc")
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    derived = warc.derivatives(warc.page_responses(pages))
+    return derived.select(
+        "page_id", "response_id", "metadata_id", "conversion_id", "refers_to", "target_uri", "payload_digest",
+        "block_digest", "n_links", F.length("text").cast("long").alias("text_chars"),
+        F.sha2(F.col("metadata"), 256).alias("metadata_sha256"),
+        F.sha2(F.col("conversion"), 256).alias("conversion_sha256"), "error",
+    )

@@ -15,6 +15,7 @@ from opinara.llm import (
     near_dup,
     quality_lm,
     quality_rules,
+    suffix_dedup,
     token_records,
     warc,
 )
@@ -151,3 +152,8 @@ def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.col("metadata"), 256).alias("metadata_sha256"),
         F.sha2(F.col("conversion"), 256).alias("conversion_sha256"), "error",
     )
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.removed_repeats(documents(spark, sf))

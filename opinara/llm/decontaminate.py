@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from opinara.llm import text as T
 from opinara.session import materialise
 
-FEATURES = 1 << 15
+FEATURES = 1 << 14
 DIMENSIONS, SURPLUS, ITERATIONS = 160, 16, 2
 HALF = 24
 COSINE = 0.3
@@ -66,10 +66,10 @@ def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["n", "texts"])
 
 
-def _summed(kind: str):
+def _summed(kind: str, out: str = "<f8"):
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, kind).astype(np.float64) for x in table.column("n").to_pylist())
-        return pa.table({"n": pa.array([total.astype("<f8").tobytes()], pa.binary()), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64())})
+        return pa.table({"n": pa.array([total.astype(out).tobytes()], pa.binary()), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64())})
 
     return add
 
@@ -142,9 +142,9 @@ def latent_basis(passages: DataFrame, weight: np.ndarray) -> np.ndarray:
 
         parts = passages.select("features").mapInArrow(multiply, "n binary, texts long")
         total = np.zeros((size, size) if last else (FEATURES, size))
-        grouped = parts.withColumn("g", F.spark_partition_id() % 8).groupBy("g").applyInArrow(_summed("<f4"), "n binary, texts long")
+        grouped = parts.withColumn("g", F.spark_partition_id() % 4).groupBy("g").applyInArrow(_summed("<f4", "<f4"), "n binary, texts long")
         for row in grouped.toLocalIterator():
-            total += np.frombuffer(bytes(row.n), "<f8").reshape(total.shape)
+            total += np.frombuffer(bytes(row.n), "<f4").reshape(total.shape)
         if not last:
             basis = np.linalg.qr(total.astype(np.float32))[0]
     values, turned = np.linalg.eigh(total)

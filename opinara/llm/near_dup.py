@@ -192,7 +192,9 @@ def near_duplicates(
     entered = signatures.mapInArrow(entries, schema).withColumnRenamed(f"key{DEPTH}", "key")
     # Keys alone first: few regions hold more than one class.
     regions = entered.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader"))
-    members = materialise(entered.join(regions.where("n > 1"), "key"), "regions")
+    # Written first, so that both sides of the join come from a shuffle and a hot region is split.
+    regions = materialise(regions.where("n > 1"), "region_leaders")
+    members = materialise(entered.join(regions, "key"), "regions")
 
     wanted = materialise(members.select("id").distinct(), "compared")
     texts = rows.join(wanted, "id")

@@ -470,6 +470,8 @@ def _cut_texts(rows: DataFrame) -> DataFrame:
     )
     each = texts.select("h", "copies", F.inline(F.arrays_zip("places", "keys")))
     shared = each.groupBy("keys").agg(F.sum("copies").alias("n")).where("n > 1").select("keys")
+    # Written first, so that both sides of the join come from a shuffle and a hot gram is split.
+    shared = materialise(shared, "shared_grams")
     wanted = each.join(shared, "keys").groupBy("h").agg(
         F.collect_list("places").alias("places"), F.collect_list("keys").alias("keys"), F.first("copies").alias("copies")
     )

@@ -56,32 +56,6 @@ STRAY_SYMBOLS = (
     rf"(?:{_OTHER}(?:{_GOES}++|(?![{_WORD}])|(?<![{_WORD}]{_OTHER}))"
     rf"|\(|(?:{_STRAY_SIGN}){_GOES}*+)"
 )
-SPACES = (
-    [chr(c) for c in range(0x09, 0x0E)]
-    + [chr(c) for c in range(0x1C, 0x21)]
-    + [chr(0x85), chr(0xA0), chr(0x1680)]
-    + [chr(c) for c in range(0x2000, 0x200B)]
-    + [chr(c) for c in (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
-)
-
-# The same set as a character class.
-_SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
-# Python's \w and \d, spelt with the classes that agree with it in Java. Each also
-# names a letter or digit beyond U+FFFF, which it holds anyway: Java's look-behind
-# steps over whole code points only if the pattern holds one literally.
-_WORD = r"\p{L}\p{N}_" + "\U00010000"
-_DIGIT = r"[\p{Nd}" + "\U0001d7ce]"
-_OTHER = f"[^{KEPT_SYMBOLS}{_WORD}]"
-
-REPEATED_MARK = r"([.!?,])\1+"
-URL = rf"\(?(?:https?://|www\.)[^{_SPACE}]*"
-DETACHED_MARK = rf"([{MARKS}])(?= |\z)"
-# A run of other symbols goes unless it is one character between two word
-# characters; "$" needs a digit after it and "%" one before it.
-STRAY_SYMBOL = (
-    rf"{_OTHER}(?:{_OTHER}+|(?![{_WORD}])|(?<![{_WORD}]{_OTHER}))"
-    rf"|\$(?!{_DIGIT})|%(?<!{_DIGIT}%)"
-)
 SPACES = f"[{_SPACE}]+"
 # Longer than any array Spark can hold; 2**31 - 1 overflows in ``slice``.
 TO_THE_END = 2**30

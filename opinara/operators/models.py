@@ -100,8 +100,11 @@ def train(
 ) -> PipelineModel:
     """Vectoriser and the classifier fitted to its vectors, as one model.
 
-    With fewer than two folds the first ``reg_params`` is taken as it is.
+    With fewer than two folds there is nothing to choose, so ``reg_params`` must be
+    one value.
     """
+    if folds < 2 and len(reg_params) != 1:
+        raise ValueError("several reg_params need two folds or more to choose by")
     if folds >= 2:
         fitted = cross_validate(features, target, reg_params, max_iter, folds, seed, key).bestModel
     else:

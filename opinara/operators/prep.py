@@ -27,6 +27,7 @@ STATES = (
     "Wyoming",
 )
 
+# The columns taken from each input and the names they get.
 COMMENT_COLUMNS = {
     "id": "id",
     "body": "body",

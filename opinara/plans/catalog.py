@@ -82,7 +82,10 @@ def src_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query("src_csv_labels", f"SELECT * FROM {O.LABEL_ROWS}")
 def src_csv_labels(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "labels-csv")
-    write_report_csv(S.label_rows(spark, sf), path)
+    written = S.label_rows(spark, sf)
+    # In another order and among other columns: the reader goes by name.
+    written = written.select(F.lit(0).alias("n"), *reversed(written.columns))
+    write_report_csv(written, path)
     return read_labels(spark, path)
 
 
@@ -181,7 +184,8 @@ def prj_parse_date(spark: SparkSession, sf: str) -> DataFrame:
 # Filters
 
 
-@query("flt_drop_quotes", "SELECT page_id, html FROM pages WHERE NOT html LIKE '%&amp;%'")
+@query("flt_drop_quotes", """SELECT page_id, html FROM pages
+        WHERE NOT html LIKE '%&amp;%' AND NOT html LIKE '%&gt;%'""")
 def flt_drop_quotes(spark: SparkSession, sf: str) -> DataFrame:
     pages = S.table(spark, sf, "pages").select("page_id", "html")
     return prep.drop_marked(pages, "html", quote="&amp;", sarcasm="&gt;")
@@ -614,11 +618,11 @@ def _labelled_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _trained(
-    spark: SparkSession, sf: str, names: tuple[str, ...] = ("pos", "neg"), folds: int = 0
+    spark: SparkSession, sf: str, names: tuple[str, ...] = ("pos", "neg")
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """The models of the fixed parameters; without folds there is nothing to choose."""
+    """The best models of the cross-validation with the fixed parameters."""
     targets = {name: models.TARGETS[name] for name in names}
-    return flows.train_models(_labelled_words(spark, sf), targets, folds=folds)
+    return flows.train_models(_labelled_words(spark, sf), targets)
 
 
 def _held_out_scores(
@@ -672,7 +676,8 @@ def _validated(
 
 @query("ml_cross_validate")
 def ml_cross_validate(spark: SparkSession, sf: str) -> DataFrame:
-    return _validated(spark, sf, "pos", models.REG_PARAMS)
+    both = [_validated(spark, sf, name, models.REG_PARAMS) for name in models.TARGETS]
+    return both[0].unionByName(both[1])
 
 
 @query("ml_grid")
@@ -744,12 +749,17 @@ def score_probability(spark: SparkSession, sf: str) -> DataFrame:
 @query("model_roundtrip", f"SELECT id, TRUE AS same FROM {_HELD_OUT}")
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Whether a saved and loaded model scores each held-out row as before."""
-    fitted, held_out = _trained(spark, sf, ("pos",))
-    path = scratch_path(spark, "model")
-    save_model(fitted["pos"], path)
-    both = {"before": fitted["pos"], "after": load_model(path)}
-    scored = models.with_probability(models.score(held_out, both), both)
-    same = F.struct("before", "before_probability") == F.struct("after", "after_probability")
+    fitted, held_out = _trained(spark, sf)
+    every, same = {}, F.lit(True)
+    for name, model in fitted.items():
+        path = scratch_path(spark, "model")
+        save_model(model, path)
+        every |= {f"{name}_before": model, f"{name}_after": load_model(path)}
+        before, after = (
+            F.struct(f"{name}_{time}", f"{name}_{time}_probability") for time in ("before", "after")
+        )
+        same &= before == after
+    scored = models.with_probability(models.score(held_out, every), every)
     return scored.select("id", same.alias("same"))
 
 
@@ -959,13 +969,17 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
         GROUP BY 1""",
 )
 def opinion_by_place(spark: SparkSession, sf: str) -> DataFrame:
-    comments = prep.drop_marked(spread(S.comments(spark, sf)))
+    """Tokens are counted where the text lies; only ids, places and counts are joined."""
+    worded = with_words(prep.drop_marked(S.comments(spark, sf)))
+    counted = worded.select(
+        "id", "author_flair_text", F.array_size("words").cast("long").alias("n_words")
+    )
     labels = prep.slim(
         S.label_rows(spark, sf), {"Input_id": "iid", "labeldem": "pos", "labelgop": "neg"}
     )
-    worded = with_words(joins.attach_labels(comments, labels))
-    return worded.groupBy(F.col("author_flair_text").alias("state")).agg(
-        F.avg("pos").alias("positive"),
-        F.avg("neg").alias("negative"),
-        F.sum(F.array_size("words")).alias("n_tokens"),
+    labelled = joins.attach_labels(counted, labels)
+    return labelled.groupBy(F.col("author_flair_text").alias("state")).agg(
+        F.avg(label_value(F.col("pos"))).alias("positive"),
+        F.avg(label_value(F.col("neg"))).alias("negative"),
+        F.sum("n_words").alias("n_tokens"),
     )

@@ -55,6 +55,29 @@ def test_label_csv_stays_text(spark, tmp_path):
     assert sources.read_labels(spark, str(other), "\t").count() == 1
 
 
+def test_label_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "labels.csv"
+    path.write_text("n,Input_id,labelgop,labeldem,labeldjt\n0,a,GOP,DEM,DJT\n")
+    assert sources.read_labels(spark, str(path)).first() == ("a", "DEM", "GOP", "DJT")
+    path.write_text("Input_id,labelgop\na,1\n")
+    with pytest.raises(ValueError, match="labeldem"):
+        sources.read_labels(spark, str(path))
+
+
+def test_quoted_numbers_and_bad_lines(spark, tmp_path):
+    path = tmp_path / "comments.json"
+    path.write_text('{"id": "a", "score": "7", "created_utc": "1430438400"}\n')
+    found = sources.read_comments(spark, str(path)).first()
+    assert (found.score, found.created_utc) == (7, 1430438400)
+    path.write_text('{"id": "a", "score": "x"}\n{"id": "b"\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        sources.read_comments(spark, str(path)).collect()
+    found = sources.read_comments(spark, str(path), mode="PERMISSIVE", corrupt="bad").cache()
+    assert sorted((r.id or "", r.score, r.bad) for r in found.collect()) == [
+        ("", None, '{"id": "b"'), ("a", None, None),
+    ]
+
+
 def test_report_csv_has_a_header(spark, tmp_path):
     path = tmp_path / "report"
     rows = [("2018-01-01", 0.25), ("2018-01-01", 0.75)]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import hash_bucket, positive_probability
+from opinara.operators.words import counted_once
 
 # Fixed values of the two models.
 MAX_ITERATIONS = 10
@@ -117,7 +118,7 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], words: str = "word
     """Add each model's 0.0/1.0 prediction, and its probability vector, in one pass.
 
     Models with the same fitted vectoriser share the vectors too. Rows without
-    words get no prediction.
+    words get no prediction. Later filters stay above the scoring.
     """
     kept = [F.col(c) for c in df.columns]
     has_words = F.col(words).isNotNull()
@@ -142,7 +143,7 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], words: str = "word
             F.when(has_words, F.col(column)).alias(column)
             for column in (name, f"{name}_probability")
         ]
-    return scored.select(*kept, *added)
+    return counted_once(scored.select(*kept, *added), "score")
 
 
 def with_probability(scored: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,11 +13,22 @@ from opinara.functions import text as T
 PARTS = ("normalised", "unigrams", "bigrams", "trigrams", "word_tokens", "combined", "words")
 
 
+def counted_once(df: DataFrame, stage: str) -> DataFrame:
+    """The same rows, counted on the way as ``n_rows`` under a name that begins with ``stage``.
+
+    Catalyst prunes columns through the count but moves no filter below it, so
+    what lies below runs once for each row, whatever the caller filters on.
+    Filters that should reach the scan belong before it.
+    """
+    return df.observe(f"{stage}-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n_rows"))
+
+
 def with_text(df: DataFrame, body: str = "body", parts: Sequence[str] = ("words",)) -> DataFrame:
     """Add the asked-for text columns, named as in ``PARTS``; the rest stays.
 
     Each stage is a projection of its own, and a column that several later ones
     read is not merged into them, so the normaliser runs once for each text.
+    Later filters stay above the text stage.
     """
     unknown = set(parts) - set(PARTS)
     if unknown:
@@ -42,7 +54,9 @@ def with_text(df: DataFrame, body: str = "body", parts: Sequence[str] = ("words"
         "combined": T.combine(unigrams, bigrams, trigrams),
         "words": T.combine_words(unigrams, bigrams, trigrams),
     }
-    return staged.select(*kept, *[derived[part].alias(part) for part in parts])
+    return counted_once(
+        staged.select(*kept, *[derived[part].alias(part) for part in parts]), "text"
+    )
 
 
 def with_words(df: DataFrame, body: str = "body", drop_empty: bool = False) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions import (
@@ -184,11 +185,14 @@ def prj_parse_date(spark: SparkSession, sf: str) -> DataFrame:
 # Filters
 
 
-@query("flt_drop_quotes", """SELECT page_id, html FROM pages
-        WHERE NOT html LIKE '%&amp;%' AND NOT html LIKE '%&gt;%'""")
+@query(
+    "flt_drop_quotes",
+    f"""SELECT id, author_flair_text, body FROM {O.MARKED_COMMENTS}
+        WHERE NOT body LIKE '%&gt;%' AND NOT body LIKE '%/s%'""",
+)
 def flt_drop_quotes(spark: SparkSession, sf: str) -> DataFrame:
-    pages = S.table(spark, sf, "pages").select("page_id", "html")
-    return prep.drop_marked(pages, "html", quote="&amp;", sarcasm="&gt;")
+    """Both marks, as given, over bodies of which some hold one, or no text."""
+    return prep.drop_marked(S.marked_comments(spark, sf))
 
 
 @query(
@@ -373,27 +377,43 @@ def rate_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return R.rates(S.scored_events(spark, sf), [day], measures, [F.asc("date")])
 
 
-@query(
-    "rate_by_state",
-    f"""SELECT author_flair_text AS state, sum(pos) / count(pos) AS pos_percent
-        FROM {O.SCORED_DOCUMENTS} WHERE author_flair_text IN ({_PLACE_LIST})
-        GROUP BY 1 ORDER BY pos_percent DESC, state""",
-)
-def rate_by_state(spark: SparkSession, sf: str) -> DataFrame:
+def _one_rate(flag: str, key: str, source: str) -> str:
+    """One side's rate by key, highest first."""
+    return f"""SELECT {key}, sum({flag}) / count({flag}) AS {flag}_percent FROM {source}
+        GROUP BY 1 ORDER BY 2 DESC, 1"""
+
+
+def _ordered_rate(df: DataFrame, key: str, flag: str) -> DataFrame:
+    rate = f"{flag}_percent"
+    return R.rates(df, [key], {rate: flag}, [F.desc(rate), F.asc(key)])
+
+
+_PLACED = f"{O.SCORED_DOCUMENTS} WHERE author_flair_text IN ({_PLACE_LIST})"
+
+
+def _placed(spark: SparkSession, sf: str) -> DataFrame:
     placed = prep.in_list(S.scored_documents(spark, sf), "author_flair_text", PLACES)
-    state = F.col("author_flair_text").alias("state")
-    order = [F.desc("pos_percent"), F.asc("state")]
-    return R.rates(placed, [state], {"pos_percent": "pos"}, order)
+    return placed.withColumnRenamed("author_flair_text", "state")
 
 
-@query(
-    "rate_by_comment_score",
-    f"""SELECT com_score, sum(pos) / count(pos) AS pos_percent FROM {O.SCORED_EVENTS}
-        GROUP BY 1 ORDER BY pos_percent DESC, com_score""",
-)
+@query("rate_by_state", _one_rate("pos", "author_flair_text AS state", _PLACED))
+def rate_by_state(spark: SparkSession, sf: str) -> DataFrame:
+    return _ordered_rate(_placed(spark, sf), "state", "pos")
+
+
+@query("rate_by_state_negative", _one_rate("neg", "author_flair_text AS state", _PLACED))
+def rate_by_state_negative(spark: SparkSession, sf: str) -> DataFrame:
+    return _ordered_rate(_placed(spark, sf), "state", "neg")
+
+
+@query("rate_by_comment_score", _one_rate("pos", "com_score", O.SCORED_EVENTS))
 def rate_by_comment_score(spark: SparkSession, sf: str) -> DataFrame:
-    order = [F.desc("pos_percent"), F.asc("com_score")]
-    return R.rates(S.scored_events(spark, sf), ["com_score"], {"pos_percent": "pos"}, order)
+    return _ordered_rate(S.scored_events(spark, sf), "com_score", "pos")
+
+
+@query("rate_by_comment_score_negative", _one_rate("neg", "com_score", O.SCORED_EVENTS))
+def rate_by_comment_score_negative(spark: SparkSession, sf: str) -> DataFrame:
+    return _ordered_rate(S.scored_events(spark, sf), "com_score", "neg")
 
 
 @query(
@@ -416,13 +436,14 @@ def topk_quantities(spark: SparkSession, sf: str) -> DataFrame:
     return R.top_groups(S.scored_lines(spark, sf), ["sub_score"], "pos", min_support=2)
 
 
-@query(
-    "rate_by_submission_score",
-    f"""SELECT sub_score, sum(neg) / count(neg) AS neg_percent FROM {O.SCORED_LINES}
-        GROUP BY 1""",
-)
+@query("rate_by_submission_score", _one_rate("neg", "sub_score", O.SCORED_LINES))
 def rate_by_submission_score(spark: SparkSession, sf: str) -> DataFrame:
-    return R.rates(S.scored_lines(spark, sf), ["sub_score"], {"neg_percent": "neg"})
+    return _ordered_rate(S.scored_lines(spark, sf), "sub_score", "neg")
+
+
+@query("rate_by_submission_score_positive", _one_rate("pos", "sub_score", O.SCORED_LINES))
+def rate_by_submission_score_positive(spark: SparkSession, sf: str) -> DataFrame:
+    return _ordered_rate(S.scored_lines(spark, sf), "sub_score", "pos")
 
 
 def _tallied_threads(spark: SparkSession, sf: str) -> DataFrame:
@@ -628,64 +649,125 @@ def _trained(
 def _held_out_scores(
     spark: SparkSession, sf: str, names: tuple[str, ...] = ("pos", "neg")
 ) -> DataFrame:
+    """The held-out half with predictions and probabilities, written once for all readers."""
     fitted, held_out = _trained(spark, sf, names)
     scored = models.score(held_out, fitted).drop("words")
-    return models.with_probability(scored, names)
+    return materialise(models.with_probability(scored, names), "held_out_scores")
+
+
+_HALF = O.hash_bucket("doc_id", 10_000, models.SEED) + " < 5000"
+
+# Fitted numbers have no SQL form. The queries below give keys, labels and counts as
+# they are, and say of each fitted value whether it is what its definition demands.
+_TARGET_ROWS = f"""(SELECT CAST(doc_id AS VARCHAR) AS id, {_HALF} AS training,
+        CASE WHEN toxic IS DISTINCT FROM 1 AND quality = 1 THEN 1 ELSE 0 END AS poslabel,
+        CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS neglabel
+    FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL)"""
+
+
+def _within_unit(column: str) -> Column:
+    return F.coalesce(F.col(column).between(0.0, 1.0), F.lit(False))
+
+
+def _is_flag(name: str) -> Column:
+    return F.coalesce(F.col(name).isin(0.0, 1.0), F.lit(False)).alias(f"{name}_is_flag")
 
 
-@query("ml_train_positive")
+def _checked_scores(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Held-out ids and labels, and whether flag and probability are sound and agree."""
+    target, p = models.TARGETS[name], f"{name}_probability"
+    ruled = (F.col(name) == 1) == (F.col(p) > target.threshold)
+    return _held_out_scores(spark, sf, (name,)).select(
+        "id", target.label, _is_flag(name), _within_unit(p).alias("in_range"), ruled.alias("as_ruled")
+    )
+
+
+def _checked_scores_sql(name: str) -> str:
+    return f"""SELECT id, {models.TARGETS[name].label}, TRUE AS {name}_is_flag, TRUE AS in_range,
+        TRUE AS as_ruled FROM {_TARGET_ROWS} WHERE NOT training"""
+
+
+@query("ml_train_positive", _checked_scores_sql("pos"))
 def ml_train_positive(spark: SparkSession, sf: str) -> DataFrame:
-    return _held_out_scores(spark, sf, ("pos",))
+    return _checked_scores(spark, sf, "pos")
 
 
-@query("ml_train_negative")
+@query("ml_train_negative", _checked_scores_sql("neg"))
 def ml_train_negative(spark: SparkSession, sf: str) -> DataFrame:
-    return _held_out_scores(spark, sf, ("neg",))
+    return _checked_scores(spark, sf, "neg")
 
 
-def _areas(scored: DataFrame) -> DataFrame:
-    areas = [
-        evaluate.auc(scored, f"{name}_probability", target.label).select(
-            F.lit(name).alias("model"), "n_pos", "n_neg", "auc"
-        )
+def _area_as_evaluated(scored: DataFrame, name: str, target: models.Target) -> DataFrame:
+    """Class sizes, and whether the rank area is the evaluator's area under the curve."""
+    probability = f"{name}_probability"
+    evaluator = BinaryClassificationEvaluator(
+        rawPredictionCol=probability, labelCol=target.label, numBins=0
+    )
+    same = F.abs(F.col("auc") - F.lit(evaluator.evaluate(scored))) < 1e-9
+    return evaluate.auc(scored, probability, target.label).select(
+        F.lit(name).alias("model"), "n_pos", "n_neg", same.alias("as_evaluated")
+    )
+
+
+def _by_model(sql: str) -> str:
+    """``sql`` for both models, with MODEL and LABEL for name and label."""
+    return " UNION ALL ".join(
+        sql.replace("MODEL", name).replace("LABEL", target.label)
         for name, target in models.TARGETS.items()
-    ]
-    return areas[0].unionByName(areas[1])
+    )
 
 
-@query("ml_evaluate")
+@query(
+    "ml_evaluate",
+    _by_model(
+        f"""SELECT 'MODEL' AS model, count(*) FILTER (WHERE LABEL = 1) AS n_pos,
+            count(*) FILTER (WHERE LABEL = 0) AS n_neg, TRUE AS as_evaluated
+            FROM {_TARGET_ROWS} WHERE NOT training"""
+    ),
+)
 def ml_evaluate(spark: SparkSession, sf: str) -> DataFrame:
-    return _areas(_held_out_scores(spark, sf))
+    scored = _held_out_scores(spark, sf)
+    areas = [_area_as_evaluated(scored, name, target) for name, target in models.TARGETS.items()]
+    return areas[0].unionByName(areas[1])
 
 
-def _validated(
-    spark: SparkSession, sf: str, name: str, reg_params: tuple[float, ...]
-) -> DataFrame:
-    """Mean area over the folds for each value of the grid."""
+_GRID = (0.1, 1.0)
+
+
+def _validated(spark: SparkSession, sf: str, reg_params: tuple[float, ...]) -> DataFrame:
+    """Rows trained on, and whether the mean area over the folds is one, by model and value."""
     labelled = _labelled_words(spark, sf)
     training, _ = models.hash_split(labelled, "id")
     vectors = features.fit_vocabulary(labelled).transform(training).drop("words")
     written = materialise(vectors, "vectors")
-    fitted = models.cross_validate(written, models.TARGETS[name], reg_params)
-    rows = [
-        (name, float(reg), float(area))
-        for reg, area in zip(reg_params, fitted.avgMetrics, strict=True)
-    ]
-    return spark.createDataFrame(rows, "model string, reg_param double, mean_auc double")
+    rows = []
+    for name, target in models.TARGETS.items():
+        areas = models.cross_validate(written, target, reg_params).avgMetrics
+        rows += [
+            (name, float(reg), 0.0 <= area <= 1.0)
+            for reg, area in zip(reg_params, areas, strict=True)
+        ]
+    found = spark.createDataFrame(rows, "model string, reg_param double, area_in_range boolean")
+    return found.withColumn("n_training", F.lit(written.count()))
+
+
+def _validated_sql(reg_params: tuple[float, ...]) -> str:
+    values = ", ".join(f"({value}::DOUBLE)" for value in reg_params)
+    return _by_model(
+        f"""SELECT 'MODEL' AS model, reg_param, TRUE AS area_in_range,
+            (SELECT count(*) FROM {_TARGET_ROWS} WHERE training) AS n_training
+            FROM (VALUES {values}) AS grid(reg_param)"""
+    )
 
 
-@query("ml_cross_validate")
+@query("ml_cross_validate", _validated_sql(models.REG_PARAMS))
 def ml_cross_validate(spark: SparkSession, sf: str) -> DataFrame:
-    both = [_validated(spark, sf, name, models.REG_PARAMS) for name in models.TARGETS]
-    return both[0].unionByName(both[1])
+    return _validated(spark, sf, models.REG_PARAMS)
 
 
-@query("ml_grid")
+@query("ml_grid", _validated_sql(_GRID))
 def ml_grid(spark: SparkSession, sf: str) -> DataFrame:
-    return _validated(spark, sf, "neg", (0.1, 1.0))
-
-
-_HALF = O.hash_bucket("doc_id", 10_000, models.SEED) + " < 5000"
+    return _validated(spark, sf, _GRID)
 
 
 @query(
@@ -732,18 +814,27 @@ def ml_threshold_rule(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("id", *rules)
 
 
-@query("ml_score")
+@query(
+    "ml_score",
+    """SELECT CAST(doc_id AS VARCHAR) AS id, text IS NOT NULL AS pos_is_flag,
+              text IS NOT NULL AS neg_is_flag FROM documents""",
+)
 def ml_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document scored by both models."""
+    """Every document scored by both models; one without text has no flag."""
     fitted, _ = _trained(spark, sf)
     worded = with_words(spread(S.comments(spark, sf)))
-    return models.score(worded, fitted).select("id", "pos", "neg")
+    return models.score(worded, fitted).select("id", _is_flag("pos"), _is_flag("neg"))
 
 
-@query("score_probability")
+@query(
+    "score_probability",
+    f"""SELECT id, poslabel, neglabel, TRUE AS pos_in_range, TRUE AS neg_in_range
+        FROM {_TARGET_ROWS} WHERE NOT training""",
+)
 def score_probability(spark: SparkSession, sf: str) -> DataFrame:
     scored = _held_out_scores(spark, sf)
-    return scored.select("id", "pos_probability", "poslabel", "neg_probability", "neglabel")
+    sound = [_within_unit(f"{n}_probability").alias(f"{n}_in_range") for n in models.TARGETS]
+    return scored.select("id", "poslabel", "neglabel", *sound)
 
 
 @query("model_roundtrip", f"SELECT id, TRUE AS same FROM {_HELD_OUT}")
@@ -763,24 +854,37 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("id", same.alias("same"))
 
 
-@query("end_to_end_rates")
+_UNMARKED = f"({_LINKED}) WHERE NOT body LIKE '%&gt;%' AND NOT body LIKE '%/s%'"
+
+
+@query(
+    "end_to_end_rates",
+    f"""SELECT sub_score, title, count(*) AS n_comments, TRUE AS positive_in_range,
+               TRUE AS negative_in_range FROM {_UNMARKED} GROUP BY sub_score, title""",
+)
 def end_to_end_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Train on labelled documents, score all threads, report rates by story."""
     fitted, _ = _trained(spark, sf)
     comments = spread(S.threads(spark, sf))
     flagged = flows.flag_comments(comments, fitted)
     tallied = joins.linked_tally(flagged, S.submissions(spark, sf), report.BOTH)
-    return R.rates_of_tally(
-        tallied, ["sub_score", "title"], report.BOTH, support="n_comments"
-    )
+    rates = R.rates_of_tally(tallied, ["sub_score", "title"], report.BOTH, support="n_comments")
+    sound = [_within_unit(side).alias(f"{side}_in_range") for side in report.BOTH]
+    return rates.select("sub_score", "title", "n_comments", *sound)
 
 
-@query("flow_scored_comments")
+@query(
+    "flow_scored_comments",
+    f"""SELECT id, author_flair_text, com_score, title, sub_score, TRUE AS pos_is_flag,
+               TRUE AS neg_is_flag FROM {_UNMARKED}""",
+)
 def flow_scored_comments(spark: SparkSession, sf: str) -> DataFrame:
     """Every filtered thread comment with both predictions and its submission."""
     fitted, _ = _trained(spark, sf)
     comments = spread(S.threads(spark, sf))
-    return flows.score_comments(comments, S.submissions(spark, sf), fitted)
+    scored = flows.score_comments(comments, S.submissions(spark, sf), fitted)
+    kept = ["id", "author_flair_text", "com_score", "title", "sub_score"]
+    return scored.select(*kept, _is_flag("pos"), _is_flag("neg"))
 
 
 # Evaluation
@@ -838,16 +942,28 @@ def rpt_roc(spark: SparkSession, sf: str) -> DataFrame:
     return report.roc_report({"pos": _balances(spark, sf), "neg": _orders(spark, sf, "O")})
 
 
-@query("rpt_roc_models")
+@query(
+    "rpt_roc_models",
+    _by_model("SELECT 'MODEL' AS model, TRUE AS starts, TRUE AS ends, TRUE AS falls"),
+)
 def rpt_roc_models(spark: SparkSession, sf: str) -> DataFrame:
-    """The two trained models' curves over the held-out half."""
+    """Whether both trained models' curves over the held-out half are curves.
+
+    They start at (0, 0), end at (1, 1), and fall as the threshold rises.
+    """
     scored = _held_out_scores(spark, sf)
-    return report.roc_report(
+    points = report.roc_report(
         {
             name: evaluate.score_label(scored, f"{name}_probability", target.label)
             for name, target in models.TARGETS.items()
         }
     )
+    lowest = F.min(F.struct("fpr", "tpr")) == F.struct(F.lit(0.0), F.lit(0.0))
+    highest = F.max(F.struct("fpr", "tpr")) == F.struct(F.lit(1.0), F.lit(1.0))
+    by_threshold = F.corr("threshold", F.col("fpr") + F.col("tpr")) < 0
+    return points.groupBy("model").agg(
+        lowest.alias("starts"), highest.alias("ends"), by_threshold.alias("falls")
+    )
 
 
 # Reports
@@ -931,13 +1047,38 @@ def sql_surface_daily(spark: SparkSession, sf: str) -> DataFrame:
         GROUP BY sub_score, title ORDER BY neg_percent DESC, title, sub_score LIMIT 10""",
 )
 def sql_surface_title(spark: SparkSession, sf: str) -> DataFrame:
-    linked = joins.link_join(S.scored_threads(spark, sf), S.submissions(spark, sf))
-    sql.register_views(spark, {"scored": linked})
-    return spark.sql(
-        f"""SELECT title, sub_score, sum(neg) / count(neg) AS neg_percent
-            FROM scored WHERE title LIKE '%{TITLE_TERM}%'
-            GROUP BY sub_score, title ORDER BY neg_percent DESC, title, sub_score LIMIT 10"""
-    )
+    sql.register_views(spark, {"tallied": _tallied_threads(spark, sf)})
+    return spark.sql(sql.TITLE_RATES, {"pattern": f"%{TITLE_TERM}%", "n": 10})
+
+
+@query(
+    "sql_surface_state",
+    f"""SELECT author_flair_text AS state, sum(pos) / count(pos) AS pos_percent,
+               sum(neg) / count(neg) AS neg_percent
+        FROM {O.SCORED_DOCUMENTS} WHERE author_flair_text IN ({_PLACE_LIST}) GROUP BY 1""",
+)
+def sql_surface_state(spark: SparkSession, sf: str) -> DataFrame:
+    states = spark.createDataFrame([(place,) for place in PLACES], "state string")
+    sql.register_views(spark, {"scored": S.scored_documents(spark, sf), "states": states})
+    return spark.sql(sql.STATE_RATES)
+
+
+@query(
+    "sql_surface_comment_score",
+    O.both_rates("com_score", O.SCORED_EVENTS, "pos_percent", "neg_percent"),
+)
+def sql_surface_comment_score(spark: SparkSession, sf: str) -> DataFrame:
+    sql.register_views(spark, {"scored": S.scored_events(spark, sf)})
+    return spark.sql(sql.score_rates("com_score"))
+
+
+@query(
+    "sql_surface_submission_score",
+    O.both_rates("sub_score", O.SCORED_LINES, "pos_percent", "neg_percent"),
+)
+def sql_surface_submission_score(spark: SparkSession, sf: str) -> DataFrame:
+    sql.register_views(spark, {"scored": S.scored_lines(spark, sf)})
+    return spark.sql(sql.score_rates("sub_score"))
 
 
 @query(
@@ -950,8 +1091,9 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     sql.register_functions(spark)
     sql.register_views(spark, {"turns": spread(S.table(spark, sf, "conversations"))})
     return spark.sql(
-        """SELECT concat_ws('_', conv_id, turn) AS id, normalise(text) AS normalised,
-                  CAST(size(comment_words(text)) AS BIGINT) AS n_tokens FROM turns"""
+        """SELECT id, normalised, CAST(size(words_of(normalised)) AS BIGINT) AS n_tokens
+           FROM (SELECT concat_ws('_', conv_id, turn) AS id, normalise(text) AS normalised
+                 FROM turns)"""
     )
 
 

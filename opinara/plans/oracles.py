@@ -89,6 +89,15 @@ COMMENTS = """(
     SELECT CAST(doc_id AS VARCHAR) AS id, text AS body, source AS author_flair_text
     FROM documents)"""
 
+MARKED_COMMENTS = """(
+    SELECT CAST(doc_id AS VARCHAR) AS id, source AS author_flair_text,
+           CASE doc_id % 7 WHEN 0 THEN '&gt; they said' || chr(10) || chr(10) || text
+                WHEN 1 THEN text || ' /s'
+                WHEN 2 THEN 'see https://example.org/story ' || text
+                WHEN 3 THEN NULL
+                WHEN 4 THEN text || ' > &gt' ELSE text END AS body
+    FROM documents)"""
+
 THREADS = """(
     SELECT conv_id || '_' || turn AS id, text AS body, 't3_' || conv_id AS link_id,
            role AS author_flair_text, turn AS com_score

@@ -36,6 +36,20 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def marked_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as comments, some with a quote, a sarcasm mark, such a URL or no text."""
+    text, turn = F.col("body"), F.col("id").cast("long") % 7
+    body = (
+        F.when(turn == 0, F.concat(F.lit("&gt; they said\n\n"), text))
+        .when(turn == 1, F.concat(text, F.lit(" /s")))
+        .when(turn == 2, F.concat(F.lit("see https://example.org/story "), text))
+        .when(turn == 3, F.lit(None).cast("string"))
+        .when(turn == 4, F.concat(text, F.lit(" > &gt")))
+        .otherwise(text)
+    )
+    return comments(spark, sf_dir).withColumn("body", body)
+
+
 def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later turns of a conversation as comments on its first turn."""
     turns = table(spark, sf_dir, "conversations").where(F.col("turn") > 0)

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from opinara.operators import evaluate, prep
+from opinara.operators.models import POSITIVE
 from opinara.operators.words import with_words
-from opinara.plans import standins
+from opinara.plans import flows, standins
 
 SF_DIR = "/root/testdata/sf0.001"
 # Windows over one row for each score bucket.
@@ -66,11 +67,22 @@ def test_scans_read_only_what_is_used(spark):
 def test_text_is_normalised_once(spark):
     words = with_words(standins.comments(spark, SF_DIR))
     assert plan_of(words).count("https?") == 1
-    # A filter on the words repeats the text stage for each part of the words, at
-    # most; inside a lambda it would run for each word.
-    filtered = plan_of(words.where(F.array_size("words") > 3))
-    assert filtered.count("https?") <= 12
-    assert not re.search(r"lambdafunction\([^()]*\([^()]*lower\(", filtered)
+    assert plan_of(words.where(F.array_size("words") > 3)).count("https?") == 1
+    assert plan_of(words.where("size(words) > 3").select(F.explode("words"))).count("https?") == 1
+    assert plan_of(queries()["sql_functions"](spark, SF_DIR)).count("https?") == 1
+
+
+def test_a_filter_on_flags_scores_once(spark):
+    comments = standins.threads(spark, SF_DIR)
+    labels = comments.select("id", F.col("id").alias("iid"), F.lit("1").alias("Trump"))
+    texts = flows.labelled_words(comments, labels.drop("id"))
+    mixed = texts.withColumn("poslabel", (F.length("id") % 2).cast("int"))
+    fitted, _ = flows.train_models(mixed, {"pos": POSITIVE}, folds=0)
+    plan = plan_of(flows.flag_comments(comments, fitted).where("pos = 1").select("id"))
+    assert plan.count("https?") == 1
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
+    assert "Not(StringContains(text,&gt;))" in pushed
+    assert "role" not in plan.rsplit("ReadSchema", 1)[1]
 
 
 def test_scores_are_counted_before_they_are_ranked(spark):

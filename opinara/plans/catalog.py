@@ -744,7 +744,7 @@ def _validated(spark: SparkSession, sf: str, reg_params: tuple[float, ...]) -> D
     for name, target in models.TARGETS.items():
         areas = models.cross_validate(written, target, reg_params).avgMetrics
         rows += [
-            (name, float(reg), 0.0 <= area <= 1.0)
+            (name, float(reg), bool(0.0 <= area <= 1.0))
             for reg, area in zip(reg_params, areas, strict=True)
         ]
     found = spark.createDataFrame(rows, "model string, reg_param double, area_in_range boolean")

@@ -28,6 +28,7 @@ from opinara.sources import (
     load_model,
     read_comments,
     read_labels,
+    read_submissions,
     read_table,
     save_model,
     spread,
@@ -80,6 +81,20 @@ def src_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_comments(spark, path)
 
 
+@query(
+    "src_json_submissions",
+    f"SELECT sub_id AS id, title, sub_score AS score FROM {O.SUBMISSIONS}",
+)
+def src_json_submissions(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores written in quotes come back as numbers."""
+    path = scratch_path(spark, "submissions-json")
+    raw = S.submissions(spark, sf).select(
+        F.col("sub_id").alias("id"), "title", F.col("sub_score").cast("string").alias("score")
+    )
+    write_json_lines(raw, path)
+    return read_submissions(spark, path)
+
+
 @query("src_csv_labels", f"SELECT * FROM {O.LABEL_ROWS}")
 def src_csv_labels(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "labels-csv")

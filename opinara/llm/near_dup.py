@@ -17,7 +17,9 @@ common prefix, are candidates:
 
 Each candidate whose signatures agree well enough is confirmed on the full sets,
 so every link is real. A pair with similarity 0.8 escapes all of the 24 orders
-with probability 3e-6; deeper regions have 96 orders. No number of partners or
+with probability 1e-4, one with 0.85 with 2e-9. Inside dense regions, where most pairs
+have other ways to the same component, 48 orders miss 1e-3 of the links at 0.8 at the
+first depth and 4e-2 at the second, 5e-5 and 4e-3 at 0.85. No number of partners or
 candidates is limited.
 
 Text: null or without words gives the empty set, linked with nothing. With fewer
@@ -48,14 +50,22 @@ DEPTH = 4
 DEEP, DEEPEST = 7, 10
 # Classes in a region above which it is cut deeper.
 DENSE = 64
-# Least number of equal hashes of a candidate: 10 deviations below what similarity
-# 0.8 gives, 4.5 below what 0.6 gives, so what is not compared is less alike than 0.6.
+# Least number of equal hashes of a region's member that is compared with the first: 10
+# deviations below what similarity 0.8 gives, 4.5 below what 0.6 gives, so what is not
+# compared is less alike than 0.6.
 AGREEING = 36
+UNSEEN = 0.6
+# The same for later candidates, of which only links matter: 4.3 deviations below 0.8.
+LINKING = 60
 
 SIGNED = "id long, n_shingles long, k1 long, k2 long, signature binary"
 _seeds = np.random.default_rng(11)
 _XOR = _seeds.integers(1, 1 << 32, HASHES, dtype=np.uint32)
 _MULTIPLY = _seeds.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
+# The hashes that each order reads first: disjoint ones, and for dense regions such as are
+# drawn anew for each order, since neighbouring windows would agree or differ together.
+ORDERS = np.arange(HASHES).reshape(-1, DEPTH)
+DEEP_ORDERS = np.stack([_seeds.permutation(HASHES)[:DEEPEST] for _ in range(48)])
 
 
 def shingle_sets(texts: T.Texts, n: int) -> list[np.ndarray]:
@@ -110,38 +120,38 @@ def _sign(n: int):
     return sign
 
 
-def _order_keys(depths: tuple[int, ...], orders: int):
-    """A row for each class and order: the hashed prefix at each depth."""
-    step = max(1, HASHES // orders)
+def _order_keys(depths: tuple[int, ...], orders: np.ndarray):
+    """A row for each class and order: the hashed prefix at each depth, and the class's other columns."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            if not len(ids):
+            if not batch.num_rows:
                 continue
-            rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, HASHES)
+            rows = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4").reshape(-1, HASHES)
             rows = rows.astype(np.uint64)
-            for order in range(orders):
-                columns = (order * step + np.arange(max(depths))) % HASHES
-                prefixes, total = [], np.full(len(ids), order + 1, dtype=np.uint64)
+            for order, columns in enumerate(orders, 1):
+                prefixes, total = [], np.full(len(rows), order, dtype=np.uint64)
                 for depth, column in enumerate(columns, 1):
                     total = T.mix(total * np.uint64(0x9E3779B97F4A7C15) + rows[:, column] + np.uint64(1))
                     if depth in depths:
                         prefixes.append(pa.array(total.view(np.int64)))
-                names = [f"key{d}" for d in depths]
-                yield pa.RecordBatch.from_arrays([*prefixes, pa.array(ids)], names=[*names, "id"])
+                names = [*(f"key{d}" for d in depths), *batch.schema.names[1:]]
+                yield pa.RecordBatch.from_arrays([*prefixes, *batch.columns[1:]], names=names)
 
-    return keys, ", ".join(f"key{d} long" for d in depths) + ", id long"
+    return keys, ", ".join(f"key{d} long" for d in depths)
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        one, other = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, HASHES)
-            for i in (2, 3)
-        )
-        close = (one == other).sum(axis=1) >= AGREEING
-        yield batch.select([0, 1]).filter(pa.array(close))
+def _agreeing(least: int):
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = (
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, HASHES)
+                for i in (2, 3)
+            )
+            close = (one == other).sum(axis=1) >= least
+            yield batch.select([0, 1]).filter(pa.array(close))
+
+    return agreeing
 
 
 def _compared(percent: int):
@@ -188,8 +198,9 @@ def near_duplicates(
         "classes",
     )
     signatures = classes.select("id", "signature")
-    entries, schema = _order_keys((DEPTH,), 24)
-    entered = signatures.mapInArrow(entries, schema).withColumnRenamed(f"key{DEPTH}", "key")
+    entries, schema = _order_keys((DEPTH,), ORDERS)
+    entered = signatures.select("signature", "id").mapInArrow(entries, f"{schema}, id long")
+    entered = entered.withColumnRenamed(f"key{DEPTH}", "key")
     # Keys alone first: few regions hold more than one class.
     regions = entered.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader"))
     # Written first, so that both sides of the join come from a shuffle and a hot region is split.
@@ -200,11 +211,11 @@ def near_duplicates(
     texts = rows.join(wanted, "id")
     sets = materialise(texts.mapInArrow(_sets_of(shingle), "id long, shingles binary"), "sets")
 
-    def confirm(pairs: DataFrame) -> DataFrame:
+    def confirm(pairs: DataFrame, least: int) -> DataFrame:
         one = signatures.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
         other = signatures.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
         close = pairs.join(one, "a").join(other, "b").select("a", "b", "sa", "sb")
-        close = close.mapInArrow(_agreeing, "a long, b long").distinct()
+        close = close.mapInArrow(_agreeing(least), "a long, b long").distinct()
         one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         other = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         both = close.join(one, "a").join(other, "b").select("a", "b", "sa", "sb")
@@ -212,11 +223,11 @@ def near_duplicates(
         return materialise(found, "confirmed")
 
     starred = members.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    first = confirm(starred.distinct())
+    first = confirm(starred.distinct(), AGREEING)
     joined = materialise(components(first.where("linked").select("a", "b")), "components")
     rest = _unsettled(members, joined, first)
     pairs = _pairs(rest, signatures, percent / 100).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = confirm(pairs)
+    second = confirm(pairs, LINKING)
     every = first.unionByName(second).where("linked").select("a", "b")
     final = components(every)
     named = classes.select("k1", "k2", "n_shingles", "id").join(final, "id", "left").select(
@@ -257,25 +268,29 @@ def _unsettled(members: DataFrame, joined: DataFrame, compared: DataFrame) -> Da
 def _pairs(rest: DataFrame, signatures: DataFrame, near: float) -> DataFrame:
     """Candidates across components, each once, smaller key first.
 
-    One minus the similarity is a distance, so a member within the linking
-    distance of the region's first has no link to one more than twice as far;
-    such pairs are left out without a loss.
+    One minus the similarity is a distance, so two members linked to each other
+    differ in their likeness to a third by no more than the linking distance; other
+    pairs are left out without a loss.
     """
     few = _across(rest.where(F.col("n") <= DENSE), "key", near)
-    dense = _without_settled(rest.where(F.col("n") > DENSE), near).groupBy("id").agg(F.first("component").alias("component"))
-    keys, schema = _order_keys((DEEP, DEEPEST), HASHES)
-    deep = materialise(
-        signatures.join(dense.select("id"), "id").select("id", "signature").mapInArrow(keys, schema)
-        .join(dense, "id"),
-        "deep",
+    # Of the regions a class is in, the largest lends its first.
+    largest = F.struct("n", "key")
+    dense = _without_settled(rest.where(F.col("n") > DENSE), near).groupBy("id").agg(
+        F.first("component").alias("component"),
+        F.max_by("leader", largest).alias("leader"),
+        F.max_by("similarity", largest).alias("similarity"),
     )
+    keys, schema = _order_keys((DEEP, DEEPEST), DEEP_ORDERS)
+    cut = signatures.join(dense, "id").select("signature", "id", "component", "leader", "similarity")
+    schema += ", id long, component long, leader long, similarity double"
+    deep = materialise(cut.mapInArrow(keys, schema), "deep")
     sizes = deep.groupBy(f"key{DEEP}").agg(
         F.count("*").alias("n"), F.min("component").alias("_l"), F.max("component").alias("_m")
     )
     open_regions = sizes.where("_l != _m").select(f"key{DEEP}", "n")
     deep = deep.join(open_regions, f"key{DEEP}")
-    middle = _across(deep.where(F.col("n") <= DENSE), f"key{DEEP}")
-    deepest = _across(deep.where(F.col("n") > DENSE), f"key{DEEPEST}")
+    middle = _across(deep.where(F.col("n") <= DENSE), f"key{DEEP}", near)
+    deepest = _across(deep.where(F.col("n") > DENSE), f"key{DEEPEST}", near)
     return few.unionByName(middle).unionByName(deepest).distinct()
 
 
@@ -291,15 +306,14 @@ def _without_settled(dense: DataFrame, near: float) -> DataFrame:
     within = (F.col("component") != F.col("_first")) & (F.col("similarity") >= 2 * near - 1)
     reached = placed.groupBy("key").agg(F.max(within).alias("_reached"))
     needed = (F.col("similarity") < near) | F.col("_reached")
-    return placed.join(reached, "key").where(needed).select("id", "component")
+    return placed.join(reached, "key").where(needed)
 
 
-def _across(rest: DataFrame, key: str, near: float | None = None) -> DataFrame:
-    condition = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-    if near is not None:
-        far = 2 * near - 1
-        condition &= ~((F.col("x.similarity") >= near) & (F.col("y.similarity") < far))
-        condition &= ~((F.col("y.similarity") >= near) & (F.col("x.similarity") < far))
+def _across(rest: DataFrame, key: str, near: float) -> DataFrame:
+    """Pairs across components whose likeness to the same first lets them be linked."""
+    apart = F.abs(F.greatest("x.similarity", F.lit(UNSEEN)) - F.greatest("y.similarity", F.lit(UNSEEN)))
+    linkable = (F.col("x.leader") != F.col("y.leader")) | (apart <= 1 - near + 1e-9)
+    across = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
     same = F.col(f"x.{key}") == F.col(f"y.{key}")
-    joined = rest.alias("x").join(rest.alias("y"), same & condition)
+    joined = rest.alias("x").join(rest.alias("y"), same & across & linkable)
     return joined.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))

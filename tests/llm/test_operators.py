@@ -54,7 +54,8 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_near_duplicates(docs, empty, rows):
+def linked_by_hand(rows):
+    """Each key's set and component, from all pairs."""
     sets = {}
     for key, text, _ in rows:
         words = WORD.findall(lower(text or ""))
@@ -74,15 +75,35 @@ def test_near_duplicates(docs, empty, rows):
             if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
+    return {k: (len(sets[k]), find(k)) for k in keys}
+
+
+def test_near_duplicates(docs, empty, rows):
+    expected = linked_by_hand(rows)
     found = near_dup.near_duplicates(docs, shingle=4).collect()
     assert len(found) == len(rows)
     for r in found:
-        assert (r.n_shingles, r.component_id, r.kept) == (
-            len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id
-        )
+        assert (r.n_shingles, r.component_id) == expected[r.doc_id]
+        assert r.kept == (r.component_id == r.doc_id)
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_in_dense_regions(spark):
+    """Copies with one to nine changed words, so that some are linked only through others."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for key in range(260):
+        words = BASE.split()
+        for at in rng.choice(len(words), 1 + key % 9, replace=False):
+            words[at] = f"v{rng.integers(3)}"
+        rows.append((key, " ".join(words), "en"))
+    expected = linked_by_hand(rows)
+    assert len({component for _, component in expected.values()}) > 5
+    docs = spark.createDataFrame([(*r, "s", 1, "clash", "clash", 1) for r in rows], SCHEMA)
+    found = near_dup.near_duplicates(docs, shingle=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+
+
 def test_quality_rules(docs, empty, rows):
     wanted = Counter()
     for key, text, _ in rows:

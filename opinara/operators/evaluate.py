@@ -1,26 +1,20 @@
 """ROC curve and the area under it, exact and distributed.
 
 Rows are first counted by distinct score. The running counts over those scores
-need no window over the whole table: quantiles of the scores cut them into
-buckets, the few bucket totals are summed up in score order, and each bucket
-then runs its own window starting from the sum before it.
+need no window over the whole table: the scores are cut into ranges, the ranges'
+totals are summed up in score order, and each range then runs its own window
+starting from the sum before it.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from opinara.operators.ranges import in_ranges, with_sums_before
 from opinara.session import materialise
 
-# Distinct scores that one bucket's window runs over, about.
-SCORES_PER_BUCKET = 500_000
-MIN_BUCKETS, MAX_BUCKETS = 64, 100_000
-
 
 def score_label(df: DataFrame, score: str, label: str) -> DataFrame:
     """The evaluation input: score and 0/1 label as doubles."""
@@ -32,7 +26,7 @@ def score_label(df: DataFrame, score: str, label: str) -> DataFrame:
 def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
     """The classes' counts by distinct score, written to the shared folder.
 
-    Bounds, totals and running counts all start here, so that the table itself
+    Ranges, totals and running counts all start here, so that the table itself
     is read once.
     """
     pairs = score_label(df, score, label).where(F.col("score").isNotNull())
@@ -43,70 +37,29 @@ def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
     return materialise(counted, "scores")
 
 
-def _bucket_count(by_score: DataFrame) -> int:
-    """Enough buckets that none is large; the count reads only file footers."""
-    wanted = math.ceil(by_score.count() / SCORES_PER_BUCKET)
-    return max(MIN_BUCKETS, min(wanted, MAX_BUCKETS))
-
-
-def _with_bucket(by_score: DataFrame, buckets: int) -> DataFrame:
-    """Number the scores' quantile ranges in score order; NaN comes last."""
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    numbers = by_score.where(~F.isnan("score"))
-    # One row with fewer bounds than buckets comes to the driver.
-    found = numbers.agg(F.percentile_approx("score", shares, 10 * buckets)).first()[0] or []
-    bounds = sorted(bound for bound in set(found) if math.isfinite(bound))
-    if not bounds:
-        return by_score.withColumn("_bucket", F.lit(0.0))
-    splits = [-math.inf, *bounds, math.inf]
-    bucketizer = Bucketizer(
-        splits=splits, inputCol="score", outputCol="_bucket", handleInvalid="keep"
-    )
-    return bucketizer.transform(by_score)
-
-
-def _running_counts(by_score: DataFrame, buckets: int | None) -> DataFrame:
-    """Per distinct score the classes' counts at or above it, and the totals."""
-    bucketed = _with_bucket(by_score, buckets or _bucket_count(by_score))
-    # One row for each bucket, MAX_BUCKETS at most, hence windows without partition.
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    totals = (
-        bucketed.groupBy("_bucket")
-        .agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-        .select(
-            "_bucket",
-            F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_pos_above"),
-            F.coalesce(F.sum("_neg").over(above), F.lit(0)).alias("_neg_above"),
-            F.sum("_pos").over(everything).alias("n_pos"),
-            F.sum("_neg").over(everything).alias("n_neg"),
-        )
-    )
+def _running_counts(by_score: DataFrame, ranges: int | None) -> DataFrame:
+    """Per distinct score the classes' counts at or above it, and the totals; NaN is highest."""
+    placed = in_ranges(by_score, [F.desc("score")], "score_ranges", ranges)
     inside = (
-        Window.partitionBy("_bucket")
+        Window.partitionBy("_range")
         .orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        bucketed.withColumn("_pos_inside", F.sum("pos").over(inside))
-        .withColumn("_neg_inside", F.sum("neg").over(inside))
-        .join(F.broadcast(totals), "_bucket")
-        .select(
-            "score",
-            "pos",
-            "neg",
-            "n_pos",
-            "n_neg",
-            (F.col("_pos_above") + F.col("_pos_inside")).alias("pos_reached"),
-            (F.col("_neg_above") + F.col("_neg_inside")).alias("neg_reached"),
-        )
+    return with_sums_before(placed, {"n_pos": F.sum("pos"), "n_neg": F.sum("neg")}).select(
+        "score",
+        "pos",
+        "neg",
+        F.col("n_pos_total").alias("n_pos"),
+        F.col("n_neg_total").alias("n_neg"),
+        (F.col("n_pos_before") + F.sum("pos").over(inside)).alias("pos_reached"),
+        (F.col("n_neg_before") + F.sum("neg").over(inside)).alias("neg_reached"),
     )
 
 
-def roc(df: DataFrame, score: str, label: str, buckets: int | None = None) -> DataFrame:
+def roc(df: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
     """Every point of the curve, from (0, 0) with no threshold down to (1, 1)."""
     by_score = _by_score(df, score, label)
-    reached = _running_counts(by_score, buckets)
+    reached = _running_counts(by_score, ranges)
     points = reached.select(
         F.col("score").alias("threshold"),
         (F.col("neg_reached") / F.nullif("n_neg", F.lit(0))).alias("fpr"),
@@ -120,14 +73,14 @@ def roc(df: DataFrame, score: str, label: str, buckets: int | None = None) -> Da
     return start.unionByName(points)
 
 
-def auc(df: DataFrame, score: str, label: str, buckets: int | None = None) -> DataFrame:
+def auc(df: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
     """One row with the area under the curve; NULL if a class is missing.
 
     The area is the share of positive-negative pairs that the score ranks
     right, ties counting half. Twice the pair count is an integer, so it is
     summed as a decimal and does not depend on the order of summation.
     """
-    reached = _running_counts(_by_score(df, score, label), buckets)
+    reached = _running_counts(_by_score(df, score, label), ranges)
     whole = "decimal(19,0)"
     below = F.col("n_neg") - F.col("neg_reached")
     twice = F.col("pos").cast(whole) * (2 * below + F.col("neg")).cast(whole)

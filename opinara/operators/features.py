@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from opinara.operators.ranges import in_ranges, with_sums_before
 from opinara.session import materialise
 
 # The least number of texts a term is in, and the number of terms kept.
@@ -53,37 +55,29 @@ def _term_counts(df: DataFrame, words: str) -> DataFrame:
     )
 
 
-def _least_power(terms: DataFrame, power: Column, size: int) -> int:
-    """The highest power of two at or above which there are ``size`` terms."""
-    histogram = terms.groupBy(power.alias("power")).agg(F.count("*").alias("n"))
-    reached = least = 0
-    # One row for each power of two, 64 at most.
-    for row in sorted(histogram.collect(), key=lambda r: -r.power):
-        least = row.power
-        reached += row.n
-        if reached >= size:
-            break
-    return least
-
-
 def vocabulary(
     df: DataFrame,
     words: str = "words",
     min_df: float = MIN_DOCUMENTS,
     size: int = VOCABULARY_SIZE,
+    eligible: str | None = None,
 ) -> DataFrame:
     """The ``size`` most frequent terms among those in at least ``min_df`` texts.
 
     Equal counts go by term, so the choice does not depend on the partitioning.
-    The text is read once: the counts are written to the shared folder. A
-    histogram of them by power of two finds a count that ``size`` terms reach,
-    and only terms with that count or more go into the final sort.
+    The text is read once: the counts are written to the shared folder, cut into
+    ranges of rank, and only the ranges that ``size`` reaches are ranked, each by
+    itself. The result is written too, so that its size is known to a join.
+    ``eligible`` names a column for the number of terms there were to choose from.
     """
     frequent = _term_counts(df, words).where(F.col("doc_freq") >= F.lit(min_df))
-    terms = materialise(frequent, "terms")
-    power = F.floor(F.log2("term_count"))
-    candidates = terms.where(power >= F.lit(_least_power(terms, power, size)))
-    return candidates.orderBy(F.desc("term_count"), F.asc("term")).limit(size)
+    order = [F.desc("term_count"), F.asc("term")]
+    placed = in_ranges(materialise(frequent, "terms"), order, "term_ranges")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    reached = with_sums_before(placed, {"terms": F.count("*")}).where(F.col("terms_before") < size)
+    kept = reached.withColumn("_rank", F.col("terms_before") + inside).where(F.col("_rank") <= size)
+    counted = [F.col("terms_total").alias(eligible)] if eligible else []
+    return materialise(kept.select("term", "doc_freq", "term_count", *counted), "vocabulary")
 
 
 def fit_vocabulary(

@@ -31,7 +31,6 @@ from opinara.sources import (
     read_submissions,
     read_table,
     save_model,
-    spread,
     write_json_lines,
     write_report_csv,
     write_table,
@@ -124,12 +123,28 @@ def snk_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, path).select("id", "pos", "neg", "com_score", "date")
 
 
+def _through_csv(spark: SparkSession, table: DataFrame) -> DataFrame:
+    """A report written as CSV and read back with its own types."""
+    path = scratch_path(spark, "report-csv")
+    write_report_csv(table, path)
+    return spark.read.schema(table.schema).option("header", True).csv(path)
+
+
 @query("snk_csv_roundtrip", O.both_rates("date", O.SCORED_EVENTS))
 def snk_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "time-csv")
-    write_report_csv(report.rate_report(S.event_days(spark, sf), "date"), path)
-    text = spark.read.schema("date string, positive double, negative double")
-    return text.option("header", True).csv(path).withColumn("date", parse_date(F.col("date")))
+    days = report.rate_report(S.event_days(spark, sf), "date")
+    text = _through_csv(spark, days.withColumn("date", F.col("date").cast("string")))
+    return text.withColumn("date", parse_date(F.col("date")))
+
+
+@query("snk_csv_submission_score", O.both_rates("sub_score", O.SCORED_LINES))
+def snk_csv_submission_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_csv(spark, report.rate_report(S.scored_lines(spark, sf), "sub_score"))
+
+
+@query("snk_csv_comment_score", O.both_rates("com_score", O.SCORED_EVENTS))
+def snk_csv_comment_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_csv(spark, report.rate_report(S.scored_events(spark, sf), "com_score"))
 
 
 # Projections
@@ -533,7 +548,7 @@ def topk_stories_supported(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(S.table(spark, sf, "documents").select("doc_id", F.col("text").alias("body")))
+    return S.spread(S.table(spark, sf, "documents").select("doc_id", F.col("text").alias("body")))
 
 
 def _text(spark: SparkSession, sf: str, part: str) -> DataFrame:
@@ -650,7 +665,7 @@ def fea_presence(spark: SparkSession, sf: str) -> DataFrame:
 
 def _labelled_words(spark: SparkSession, sf: str) -> DataFrame:
     labels = prep.slim(S.label_rows(spark, sf), prep.LABEL_COLUMNS)
-    return flows.labelled_words(spread(S.comments(spark, sf)), labels)
+    return flows.labelled_words(S.spread(S.comments(spark, sf)), labels)
 
 
 def _trained(
@@ -837,7 +852,7 @@ def ml_threshold_rule(spark: SparkSession, sf: str) -> DataFrame:
 def ml_score(spark: SparkSession, sf: str) -> DataFrame:
     """Every document scored by both models; one without text has no flag."""
     fitted, _ = _trained(spark, sf)
-    worded = with_words(spread(S.comments(spark, sf)))
+    worded = with_words(S.spread(S.comments(spark, sf)))
     return models.score(worded, fitted).select("id", _is_flag("pos"), _is_flag("neg"))
 
 
@@ -880,7 +895,7 @@ _UNMARKED = f"({_LINKED}) WHERE NOT body LIKE '%&gt;%' AND NOT body LIKE '%/s%'"
 def end_to_end_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Train on labelled documents, score all threads, report rates by story."""
     fitted, _ = _trained(spark, sf)
-    comments = spread(S.threads(spark, sf))
+    comments = S.spread(S.threads(spark, sf))
     flagged = flows.flag_comments(comments, fitted)
     tallied = joins.linked_tally(flagged, S.submissions(spark, sf), report.BOTH)
     rates = R.rates_of_tally(tallied, ["sub_score", "title"], report.BOTH, support="n_comments")
@@ -896,7 +911,7 @@ def end_to_end_rates(spark: SparkSession, sf: str) -> DataFrame:
 def flow_scored_comments(spark: SparkSession, sf: str) -> DataFrame:
     """Every filtered thread comment with both predictions and its submission."""
     fitted, _ = _trained(spark, sf)
-    comments = spread(S.threads(spark, sf))
+    comments = S.spread(S.threads(spark, sf))
     scored = flows.score_comments(comments, S.submissions(spark, sf), fitted)
     kept = ["id", "author_flair_text", "com_score", "title", "sub_score"]
     return scored.select(*kept, _is_flag("pos"), _is_flag("neg"))
@@ -957,6 +972,14 @@ def rpt_roc(spark: SparkSession, sf: str) -> DataFrame:
     return report.roc_report({"pos": _balances(spark, sf), "neg": _orders(spark, sf, "O")})
 
 
+@query(
+    "snk_csv_roc_input",
+    f"SELECT CAST(score AS DOUBLE) AS score, CAST(label AS DOUBLE) AS label FROM {_BALANCES}",
+)
+def snk_csv_roc_input(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_csv(spark, evaluate.score_label(_balances(spark, sf), "score", "label"))
+
+
 @query(
     "rpt_roc_models",
     _by_model("SELECT 'MODEL' AS model, TRUE AS starts, TRUE AS ends, TRUE AS falls"),
@@ -1015,6 +1038,11 @@ def rpt_state_diff(spark: SparkSession, sf: str) -> DataFrame:
     return _state_rates(spark, sf)
 
 
+@query("snk_csv_state", f"SELECT *, negative - positive AS diff FROM {_STATE_RATES}")
+def snk_csv_state(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_csv(spark, _state_rates(spark, sf))
+
+
 # Colour scales that fit the rates of the test tables.
 _SCALES = {"positive": (0.6, 1.0), "negative": (0.0, 0.4), "diff": (-1.0, -0.5)}
 
@@ -1104,7 +1132,7 @@ def sql_surface_submission_score(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
     sql.register_functions(spark)
-    sql.register_views(spark, {"turns": spread(S.table(spark, sf, "conversations"))})
+    sql.register_views(spark, {"turns": S.spread(S.table(spark, sf, "conversations"))})
     return spark.sql(
         """SELECT id, normalised, CAST(size(words_of(normalised)) AS BIGINT) AS n_tokens
            FROM (SELECT concat_ws('_', conv_id, turn) AS id, normalise(text) AS normalised

@@ -13,6 +13,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a test table that comes in fewer parts than there are cores.
+
+    Each test table is a file of one row group, which no split size divides, and the
+    text stage is bound by the processor. Tables of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
 

@@ -4,7 +4,6 @@ from opinara.sources.readers import (
     read_labels,
     read_submissions,
     read_table,
-    spread,
 )
 from opinara.sources.writers import save_model, write_json_lines, write_report_csv, write_table
 
@@ -15,7 +14,6 @@ __all__ = [
     "read_submissions",
     "read_table",
     "save_model",
-    "spread",
     "write_json_lines",
     "write_report_csv",
     "write_table",

@@ -71,18 +71,6 @@ def read_labels(spark: SparkSession, path: str, delimiter: str = ",") -> DataFra
     return found.select(*[f.name for f in schemas.LABELS])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that comes in fewer parts than there are cores.
-
-    The text stage is bound by the processor, and a file that cannot be split
-    would be one task. A table with enough parts is left as it is, so nothing is
-    shuffled at scale. For tables as read: a plan that already shuffles would
-    run to find out its number of parts.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -33,7 +33,8 @@ def test_vocabulary(worded, counted, size):
     documents, total = counted
     frequent = [term for term, n in documents.items() if n >= 5]
     best = sorted(frequent, key=lambda t: (-total[t], t.encode()))[:size]
-    found = features.vocabulary(worded, size=size).collect()
+    found = features.vocabulary(worded, size=size, eligible="n_eligible").collect()
+    assert {r.n_eligible for r in found} == {len(frequent)}
     assert {r.term: (r.doc_freq, r.term_count) for r in found} == {
         t: (documents[t], total[t]) for t in best
     }

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara import sources
+from opinara.plans.standins import spread
 from opinara.session import materialise, shared_dir
-from opinara.sources import spread
 from opinara.sources import schemas
 
 

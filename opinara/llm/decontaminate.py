@@ -5,15 +5,25 @@ by half. A passage is a TF-IDF vector over hashed words, with document
 frequencies counted over all texts. A randomised SVD of the benchmark's passages,
 its products summed up over Spark's partitions, gives a latent space; every
 passage of every text is projected into it and compared by cosine with every item
-passage, block of items by block. Items above ``COSINE`` are candidates, and the
-words around the passage decide:
+passage, block of items by block. Items above ``COSINE`` are candidates.
+
+The space keeps less of each item the more items there are, so a second path finds
+candidates without it. What counts as a copy holds all but a fifth of the item's
+words; of its rarest words, one more than a fifth of all, at least one is therefore
+there, and of ``n`` more at least ``n``. These words are looked up one by one, and
+an item is a candidate wherever enough of them lie within twice its length. The same
+is done for paraphrases, with the item's words or its answer's. So nothing that
+counts is missed if it is spread over at most twice as many words as the item has.
+
+The words around the passage or the rare words decide:
 
 * a longest common subsequence with ``COPIED`` of the item's words is a copy;
 * one with ``PARAPHRASED`` of them is a paraphrase if the item's answer, its last
   sentence, is there too with ``ANSWERED`` of its words in order.
 
 The item table is the query set: it is held in blocks of ``ITEM_BLOCK`` passages, one
-broadcast at a time. The latent basis has a fixed size, features by dimensions.
+broadcast at a time; the distinct words of all items are counted in the texts. The
+latent basis has a fixed size, features by dimensions.
 
 Words compare in lower case without marks at their ends. Null or empty texts hold
 nothing; null or wordless items match nothing; items with equal texts all match.
@@ -43,6 +53,9 @@ ITEM_BLOCK = 8192
 # Bytes of text worked on at a time: a word takes 4 * DIMENSIONS bytes.
 SLICE = 1 << 19
 MARKS = b".,;:!?\"'()[]{}*#$%&-_"
+_MARK = np.isin(np.arange(256), list(MARKS))
+# Rare words of an item asked for at once, and the words they may lie apart, in its lengths.
+TOGETHER, REACH = 4, 2
 FOUND = "doc_id long, row long, items array<long>, likeness double"
 
 
@@ -54,16 +67,57 @@ def _bare(word: bytes) -> bytes:
     return word.strip(MARKS) or word
 
 
-def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, n = np.zeros(FEATURES, dtype=np.int64), 0
-    for batch in batches:
-        for texts in T.slices(batch.column(0)):
-            texts = T.lowered(texts)
-            words = T.split_words(texts)
-            own = _features(T.word_hashes(texts, words)) + words.text_of() * FEATURES
-            total += np.bincount(np.unique(own) % FEATURES, minlength=FEATURES)
-            n += texts.high - texts.low
-    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["n", "texts"])
+def _bare_hashes(texts: T.Texts, words: T.Words, sums: np.ndarray) -> np.ndarray:
+    """Hashes of the words without marks at their ends, as ``_bare`` leaves them."""
+    mark, at = _MARK[texts.data], np.arange(len(texts.data))
+    before = np.maximum.accumulate(np.where(mark, -1, at))
+    after = np.minimum.accumulate(np.where(mark, len(at), at)[::-1])[::-1]
+    starts, ends = after[words.starts], before[words.ends - 1] + 1
+    marks = starts >= words.ends
+    return T.span_hashes(sums, np.where(marks, words.starts, starts), np.where(marks, words.ends, ends))
+
+
+def _hashes_of(words: list[bytes]) -> np.ndarray:
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    texts = next(T.slices(pa.array([b" ".join(words)], pa.large_binary())))
+    return T.word_hashes(texts, T.split_words(texts))
+
+
+class _Lookup:
+    """Where hashes stand in a sorted table."""
+
+    def __init__(self, table: np.ndarray):
+        self.table, self.low = table, np.uint64((1 << 20) - 1)
+        self.seen = np.zeros(1 << 20, dtype=bool)
+        self.seen[table & self.low] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(self.seen[hashes & self.low])
+        where = np.searchsorted(self.table, hashes[at])
+        held = self.table[np.minimum(where, len(self.table) - 1)] == hashes[at]
+        return at[held], where[held]
+
+
+def _document_frequency(sent):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        named = _Lookup(sent.value)
+        size = len(named.table)
+        total, n = np.zeros(FEATURES + size, dtype=np.int64), 0
+        for batch in batches:
+            for texts in T.slices(batch.column(0)):
+                texts = T.lowered(texts)
+                words, sums = T.split_words(texts), texts.prefix_hashes()
+                text_of = words.text_of()
+                own = _features(T.span_hashes(sums, words.starts, words.ends)) + text_of * FEATURES
+                total[:FEATURES] += np.bincount(np.unique(own) % FEATURES, minlength=FEATURES)
+                at, where = named.find(_bare_hashes(texts, words, sums))
+                if len(at):
+                    total[FEATURES:] += np.bincount(np.unique(text_of[at] * size + where) % size, minlength=size)
+                n += texts.high - texts.low
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["n", "texts"])
+
+    return count
 
 
 def _summed(kind: str, out: str = "<f8"):
@@ -74,15 +128,16 @@ def _summed(kind: str, out: str = "<f8"):
     return add
 
 
-def inverse_frequency(texts: DataFrame) -> np.ndarray:
-    """Weights of the hashed words over all texts; a table of fixed size."""
-    parts = texts.mapInArrow(_document_frequency, "n binary, texts long")
+def inverse_frequency(texts: DataFrame, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the hashed words over all texts; shares of texts that have each of the ``named``."""
+    sent = texts.sparkSession.sparkContext.broadcast(named)
+    parts = texts.mapInArrow(_document_frequency(sent), "n binary, texts long")
     # Partial sums in groups first, so that no task adds up all partitions' tables.
     parts = parts.withColumn("g", F.spark_partition_id() % 64).groupBy("g").applyInArrow(_summed("<i8"), "n binary, texts long")
-    held, n = np.zeros(FEATURES), 0
+    held, n = np.zeros(FEATURES + len(named)), 0
     for row in parts.toLocalIterator():
         held, n = held + np.frombuffer(bytes(row.n), "<f8"), n + row.texts
-    return np.log((n + 1) / (held + 1)).astype(np.float32)
+    return np.log((n + 1) / (held[:FEATURES] + 1)).astype(np.float32), (held[FEATURES:] + 1) / (n + 1)
 
 
 def _item_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,15 +236,76 @@ def judged(item: tuple, words: list[bytes]) -> float:
     return 0.0
 
 
+def _needed(n: int, share: float) -> int:
+    """The fewest of ``n`` words that are ``share`` of them."""
+    least = int(share * n)
+    while least < share * n and least / n < share:
+        least += 1
+    return max(least, 1)
+
+
+def _probe(hashes: np.ndarray, shares: np.ndarray, needed: int) -> tuple[float, np.ndarray, int]:
+    """What asking for it costs; rare words; how many of them are there if ``needed`` of all words are."""
+    order, spare = np.argsort(shares, kind="stable"), len(hashes) - needed
+    made = []
+    for least in range(1, min(TOGETHER, needed) + 1):
+        own = order[: spare + least]
+        rate = float(shares[own].sum())
+        made.append((rate * min(rate, 1.0) ** (least - 1), least, own))
+    cost, least, own = min(made, key=lambda m: m[:2])
+    return cost, np.unique(hashes[own]), least
+
+
+class _Probes:
+    """Rare words of the items, and what each asks for."""
+
+    def __init__(self, texts: dict[int, tuple], named: np.ndarray, shares: np.ndarray):
+        keys, probes, self.items, self.least, self.reach = [], [], [], [], []
+        for item, (words, answer) in texts.items():
+            hashes, own = _hashes_of(words), _hashes_of(answer)
+            common, rare = (shares[np.searchsorted(named, h)] for h in (hashes, own))
+            asked = [_probe(hashes, common, _needed(len(words), COPIED))]
+            if answer:
+                whole = _probe(hashes, common, _needed(len(words), PARAPHRASED))
+                asked.append(min(whole, _probe(own, rare, _needed(len(answer), ANSWERED)), key=lambda p: p[0]))
+            for _, rarest, least in asked:
+                keys.append(rarest)
+                probes.append(np.full(len(rarest), len(self.items)))
+                self.items.append(item)
+                self.least.append(least)
+                self.reach.append(REACH * len(words))
+        keys, probes = np.concatenate(keys), np.concatenate(probes)
+        order = np.argsort(keys, kind="stable")
+        self.words, first = np.unique(keys[order], return_index=True)
+        self.first, self.probes = np.append(first, len(keys)), probes[order]
+        self.least, self.reach = np.array(self.least), np.array(self.reach)
+
+    def candidates(self, lookup: _Lookup, hashes: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the places where enough rare words of a probe lie together, and the probe."""
+        at, where = lookup.find(hashes)
+        counts = self.first[where + 1] - self.first[where]
+        total = int(counts.sum())
+        own = self.probes[np.arange(total) + np.repeat(self.first[where] - (np.cumsum(counts) - counts), counts)]
+        order = np.argsort(own, kind="stable")
+        own, at = own[order], np.repeat(at, counts)[order]
+        last = np.arange(total) + self.least[own] - 1
+        held = np.flatnonzero(last < total)
+        last = last[held]
+        held_at, last_at = at[held], at[last]
+        enough = (own[last] == own[held]) & (text_of[last_at] == text_of[held_at]) & (last_at - held_at <= self.reach[own[held]])
+        return held_at[enough], own[held][enough]
+
+
 def _search(sent):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = _Lookup(sent.value[5].words)
         for batch in batches:
             for texts in T.slices(batch.column(2), SLICE):
                 texts = T.lowered(texts)
                 words = T.split_words(texts)
                 found: dict[int, dict[int, float]] = {}
                 if len(words.starts):
-                    _match(texts, words, found)
+                    _match(texts, words, found, lookup)
                 n = texts.high - texts.low
                 held = [found.get(i, {}) for i in range(n)]
                 yield pa.RecordBatch.from_arrays(
@@ -201,10 +317,24 @@ def _search(sent):
                     names=["doc_id", "row", "items", "likeness"],
                 )
 
-    def _match(texts: T.Texts, words: T.Words, found: dict[int, dict[int, float]]) -> None:
-        items, owners, targets, projection, weight = sent.value
+    def _match(texts: T.Texts, words: T.Words, found: dict[int, dict[int, float]], lookup: _Lookup) -> None:
+        items, owners, targets, projection, weight, probes = sent.value
         longest = max((item[0][1] for item in items.values()), default=0)
-        features = _features(T.word_hashes(texts, words))
+        sums = texts.prefix_hashes()
+
+        def judge(text: int, item: int, low: int, high: int) -> None:
+            low, high = max(low, int(words.first[text])), min(high, int(words.first[text + 1]))
+            span = texts.data[words.starts[low] : words.ends[high - 1]].tobytes()
+            share = judged(items[item], [_bare(w) for w in span.split()])
+            if share > found.get(text, {}).get(item, 0.0):
+                found.setdefault(text, {})[item] = share
+
+        text_of = words.text_of()
+        for place, probe in zip(*probes.candidates(lookup, _bare_hashes(texts, words, sums), text_of), strict=True):
+            text, item, reach = int(text_of[place]), probes.items[probe], int(probes.reach[probe])
+            if found.get(text, {}).get(item) != 1.0:
+                judge(text, item, int(place) - reach, int(place) + reach + 1)
+        features = _features(T.span_hashes(sums, words.starts, words.ends))
         # Halves of passages: the first word of each, and the text it is in.
         counts = -(-words.counts // HALF)
         first = np.concatenate([[0], np.cumsum(counts)])
@@ -225,12 +355,7 @@ def _search(sent):
             text = int(owner[i])
             if item in found.get(text, {}):
                 continue
-            low = max(int(begins[i]) - longest, int(words.first[text]))
-            high = min(int(begins[i]) + 2 * HALF + longest, int(words.first[text + 1]))
-            span = texts.data[words.starts[low] : words.ends[high - 1]].tobytes()
-            share = judged(items[item], [_bare(w) for w in span.split()])
-            if share:
-                found.setdefault(text, {})[item] = share
+            judge(text, item, int(begins[i]) - longest, int(begins[i]) + 2 * HALF + longest)
 
     return search
 
@@ -255,9 +380,11 @@ def find_items(
         .where("item is not null"),
         "item_passages",
     )
-    weight = inverse_frequency(rows.select("text"))
+    named = passages.select(F.explode("words").alias("word")).distinct().toArrow().column("word")
+    named = np.unique(_hashes_of(named.to_pylist()))
+    weight, shares = inverse_frequency(rows.select("text"), named)
     basis = latent_basis(passages, weight)
-    parts = [rows.mapInArrow(_search(sent), FOUND) for sent in _blocks(spark, passages, basis, weight)]
+    parts = [rows.mapInArrow(_search(sent), FOUND) for sent in _blocks(spark, passages, basis, weight, named, shares)]
     if not parts:
         nothing = F.array().cast("array<long>").alias("items")
         return rows.select("doc_id", "row", nothing, F.lit(0.0).alias("likeness"))
@@ -275,7 +402,7 @@ def find_items(
     return merged.withColumn("copy", F.explode(copies)).drop("copy", "n")
 
 
-def _blocks(spark, passages: DataFrame, basis: np.ndarray, weight: np.ndarray):
+def _blocks(spark, passages: DataFrame, basis: np.ndarray, weight: np.ndarray, named: np.ndarray, shares: np.ndarray):
     """Broadcasts of the item passages, ``ITEM_BLOCK`` at a time."""
     held: list = []
     projection = basis * weight[:, None]
@@ -286,11 +413,13 @@ def _blocks(spark, passages: DataFrame, basis: np.ndarray, weight: np.ndarray):
         )
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         targets = (vectors / np.where(norms > 0, norms, 1)).astype(np.float32)
-        items = {}
+        items, held = {}, {}
         for r in rows:
             words, answer = [bytes(w) for w in r.words], [bytes(w) for w in r.answer]
             items[r.item] = ((_places(words), len(words)), (_places(answer), len(answer)))
-        return spark.sparkContext.broadcast((items, [r.item for r in rows], targets, projection, weight))
+            held[r.item] = words, answer
+        probes = _Probes(held, named, shares)
+        return spark.sparkContext.broadcast((items, [r.item for r in rows], targets, projection, weight, probes))
 
     for row in passages.toLocalIterator():
         held.append(row)

@@ -291,3 +291,20 @@ def test_decontaminate(spark, docs, empty, rows):
     assert found[200_000] == [1] and found[200_001] == [1] and found[100_005] == [4] and found[100_000] == []
     assert decontaminate.contaminated(empty, items).count() == 0
     assert decontaminate.contaminated(docs, items.where("false")).where("contaminated").count() == 0
+
+
+@pytest.mark.parametrize("n", [1_000, 10_000])
+def test_decontaminate_finds_copies_whatever_the_number_of_items(spark, n):
+    """Verbatim, with every seventh word dropped, and with a word added after each."""
+    rng = np.random.default_rng(11)
+    words = np.array([f"w{i}" for i in range(30_000)])
+    items = [" ".join(words[rng.integers(0, len(words), 12 + i % 40)]) + "." for i in range(n)]
+    rows = []
+    for key in range(300):
+        own = items[key * n // 300].split()
+        own = [own, [w for i, w in enumerate(own) if i % 7 != 3], [x for w in own for x in (w, "and")]][key % 3]
+        around = words[rng.integers(0, len(words), 200)]
+        rows.append((key, " ".join([*around[:100], *own, *around[100:]]), "en", "s", 1, "c", "c", 1))
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(rows, SCHEMA), table).collect()
+    assert {r.doc_id: list(r["items"]) for r in found} == {key: [key * n // 300] for key in range(300)}

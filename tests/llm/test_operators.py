@@ -202,6 +202,25 @@ def test_quality_lm(spark, docs, empty):
         quality_lm.judge(every, labels.where("false"))
 
 
+def test_quality_lm_keeps_the_model_off_the_driver(spark, docs, monkeypatch):
+    """Small shards and groups give the sums of one shard, and no table is fetched."""
+
+    def refuse(self):
+        raise AssertionError("the model went to the driver")
+
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    every = queries.documents(spark, SF_DIR).unionByName(docs.selectExpr("doc_id", "text", "lang", "source", "n_chars"))
+    monkeypatch.setattr(type(every), "toArrow", refuse)
+    found = []
+    for entries, size in ((1 << 40, 1 << 40), (1 << 13, 1 << 16)):
+        monkeypatch.setattr(quality_lm, "SHARD_ENTRIES", entries)
+        monkeypatch.setattr(quality_lm, "GROUP_BYTES", size, raising=False)
+        found.append(sorted((r.doc_id, r.n_tokens, r.perplexity, r.kept) for r in quality_lm.judge(every, labels).collect()))
+    assert len(found[0]) == len(found[1]) == every.count()
+    for a, b in zip(*found, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-4) and a[3] == b[3]
+
+
 def test_token_records(spark, docs, empty, rows, tmp_path):
     from tokenizers import Tokenizer
 

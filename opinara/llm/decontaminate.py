@@ -19,7 +19,9 @@ The words around the passage or the rare words decide:
 
 * a longest common subsequence with ``COPIED`` of the item's words is a copy;
 * one with ``PARAPHRASED`` of them is a paraphrase if the item's answer, its last
-  sentence, is there too with ``ANSWERED`` of its words in order.
+  sentence, is there too with ``ANSWERED`` of its words in order. An item of one
+  sentence has no answer of its own; the quarter of its words that the fewest texts
+  have, three at least, stands for it.
 
 The item table is the query set: it is held in blocks of ``ITEM_BLOCK`` passages, one
 broadcast at a time; the distinct words of all items are counted in the texts. The
@@ -47,6 +49,7 @@ from opinara.session import materialise
 FEATURES = 1 << 14
 DIMENSIONS, SURPLUS, ITERATIONS = 160, 16, 2
 HALF = 24
+LEAST_RARE = 3
 COSINE = 0.3
 COPIED, PARAPHRASED, ANSWERED = 0.8, 0.6, 0.8
 ITEM_BLOCK = 8192
@@ -256,6 +259,13 @@ def _probe(hashes: np.ndarray, shares: np.ndarray, needed: int) -> tuple[float,
     return cost, np.unique(hashes[own]), least
 
 
+def _rarest(words: list[bytes], named: np.ndarray, shares: np.ndarray) -> list[bytes]:
+    """The words that stand for a missing answer, in their order."""
+    common = shares[np.searchsorted(named, _hashes_of(words))]
+    held = np.argsort(common, kind="stable")[: max(len(words) // 4, LEAST_RARE)]
+    return [words[i] for i in sorted(held)]
+
+
 class _Probes:
     """Rare words of the items, and what each asks for."""
 
@@ -416,6 +426,7 @@ def _blocks(spark, passages: DataFrame, basis: np.ndarray, weight: np.ndarray, n
         items, held = {}, {}
         for r in rows:
             words, answer = [bytes(w) for w in r.words], [bytes(w) for w in r.answer]
+            answer = answer or _rarest(words, named, shares)
             items[r.item] = ((_places(words), len(words)), (_places(answer), len(answer)))
             held[r.item] = words, answer
         probes = _Probes(held, named, shares)

@@ -327,3 +327,17 @@ def test_decontaminate_finds_copies_whatever_the_number_of_items(spark, n):
     table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     found = decontaminate.contaminated(spark.createDataFrame(rows, SCHEMA), table).collect()
     assert {r.doc_id: list(r["items"]) for r in found} == {key: [key * n // 300] for key in range(300)}
+
+
+def test_decontaminate_finds_paraphrases_of_items_without_an_answer(spark):
+    common = [f"c{i}" for i in range(22)]
+    rare = [f"r{i}" for i in range(8)]
+    item = [w for i, r in enumerate(rare) for w in (r, *common[3 * i : 3 * i + 3])][:30]
+    changed = [f"x{i}" if i in (1, 5, 9, 13, 17, 21, 25, 26, 27, 29) else w for i, w in enumerate(item)]
+    without = [f"x{i}" if w in rare else w for i, w in enumerate(item)]
+    texts = [changed, without, item[::-1], *[common] * 40]
+    rows = [(i, " ".join(["before", *t, "after"]), "en", "s", 1, "c", "c", 1) for i, t in enumerate(texts)]
+    table = spark.createDataFrame([(1, " ".join(item) + ".")], "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(rows, SCHEMA), table).collect()
+    held = {r.doc_id: r.likeness for r in found if list(r["items"]) == [1]}
+    assert list(held) == [0] and held[0] == pytest.approx(20 / 30)

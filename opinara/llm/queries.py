@@ -11,12 +11,15 @@ from opinara.llm import (
     decontaminate,
     line_dedup,
     log_bilinear,
+    merkle,
     mixing,
     near_dup,
     quality_lm,
     quality_rules,
     suffix_dedup,
     token_records,
+    toxicity,
+    variants,
     warc,
 )
 
@@ -157,3 +160,124 @@ def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.removed_repeats(documents(spark, sf))
+
+
+# CRC-32 by its table, over the bytes of a text of characters up to U+07FF.
+_CRC_TABLE = "crc_table AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda c, _: " \
+    "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(256) r(i)))"
+
+
+def _crc_sql(text: str) -> str:
+    octets = f"""flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128
+        THEN [unicode(c)::BIGINT] ELSE [(192 + unicode(c) // 64)::BIGINT, (128 + unicode(c) % 64)::BIGINT] END))"""
+    return f"""xor(list_reduce({octets}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"""
+
+
+def _variants_sql() -> str:
+    links = " LEFT JOIN ".join(
+        ["forms f0", *(f"forms f{i} ON f{i}.word = f{i - 1}.form" for i in range(1, 24))]
+    )
+    root = ", ".join(f"f{i}.form" for i in range(23, -1, -1))
+    return rf"""
+WITH {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+distinct_runs AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS MATERIALIZED (
+    SELECT run, n, {_crc_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM distinct_runs, crc_table),
+words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN run[1:(h % length(run))] || run[(h % length(run) + 2):] ELSE run END AS word, n
+    FROM hashed),
+vocabulary AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+shorter AS MATERIALIZED (
+    SELECT word, i, word[1:i - 1] || word[i + 1:] AS part
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+pairs AS (
+    SELECT a.word, b.word AS near FROM shorter a JOIN shorter b USING (i, part) WHERE a.word <> b.word
+    UNION SELECT word, part FROM shorter SEMI JOIN vocabulary v ON v.word = part
+    UNION SELECT part, word FROM shorter SEMI JOIN vocabulary v ON v.word = part),
+ranked AS (
+    SELECT p.word, p.near, v.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+           row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, encode(p.near)) AS place
+    FROM pairs p JOIN vocabulary v ON v.word = p.near),
+forms AS MATERIALIZED (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN near_n >= 2 * v.n THEN near END AS form, CASE WHEN near_n >= 2 * v.n THEN near_n END AS form_n
+    FROM vocabulary v LEFT JOIN ranked r ON r.word = v.word AND place = 1)
+SELECT f0.word, f0.form, coalesce({root}, f0.word) AS root, f0.n, f0.n_near, f0.form_n
+FROM {links}"""
+
+
+@query("op11_spelling_variants", _variants_sql())
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.group_variants(documents(spark, sf))
+
+
+# Levels that the SQL below builds; Spark's query has no such bound.
+_LEAF_LEVELS, _SOURCE_LEVELS = 14, 8
+
+
+def _merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        fields = [
+            f"coalesce(strlen({value}) || ':' || {value}, '-')"
+            for value in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+        ]
+        return f"sha256({' || '.join(fields)})"
+
+    def climb(name: str, level: int, tree: str, start: str) -> str:
+        """Builds a level, and takes each leaf from the one below up to it."""
+        here, below, before = f"{name}{level}", f"{name}{level - 1}", f"{name}_way{level - 1}" if level > 1 else start
+        return f"""
+{here}_runs AS MATERIALIZED (
+    SELECT {tree} tree, pos // 3 AS up, list(h ORDER BY pos) AS run, any_value(n) AS n FROM {below} GROUP BY ALL),
+{here} AS MATERIALIZED (
+    SELECT tree, up AS pos, CASE WHEN n > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS h,
+           (n + 2) // 3 AS n FROM {here}_runs),
+{name}_way{level} AS MATERIALIZED (
+    SELECT w.* REPLACE (
+        w.place // 3 AS place,
+        CASE WHEN r.n > 1 THEN siblings || array_to_string(
+            list_filter(run, lambda h, i: i <> w.place % 3 + 1), '') ELSE siblings END AS siblings,
+        CASE WHEN r.n > 1 THEN sha256(array_to_string(
+            list_transform(run, lambda h, i: CASE WHEN i = w.place % 3 + 1 THEN folded ELSE h END), ''))
+            ELSE folded END AS folded)
+    FROM {before} w JOIN {here}_runs r ON r.up = w.place // 3 AND r.tree = w.tree)"""
+
+    lower = ",".join(climb("leaf", k, "tree,", "start") for k in range(1, _LEAF_LEVELS + 1))
+    upper = ",".join(climb("src", k, "tree,", "middle") for k in range(1, _SOURCE_LEVELS + 1))
+    return rf"""
+WITH {_CRC_TABLE},
+changed AS (
+    SELECT *, CASE WHEN {_crc_sql("doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other
+    FROM documents, crc_table),
+leaves AS (
+    SELECT doc_id, {leaf("text")} AS leaf, {leaf("other")} AS folded,
+           dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+           count(*) OVER (PARTITION BY source) AS n
+    FROM changed),
+leaf0 AS MATERIALIZED (SELECT tree, pos, leaf AS h, n FROM leaves),
+start AS MATERIALIZED (
+    SELECT doc_id, leaf, folded, '' AS siblings, tree, pos AS place, 0::BIGINT AS source_no, '' AS subroot FROM leaves),
+{lower},
+middle AS MATERIALIZED (
+    SELECT doc_id, leaf, folded, siblings, 0::BIGINT AS tree, tree AS place, tree AS source_no, h AS subroot
+    FROM leaf_way{_LEAF_LEVELS} JOIN leaf{_LEAF_LEVELS} USING (tree)),
+src0 AS MATERIALIZED (SELECT 0::BIGINT AS tree, tree AS pos, h, count(*) OVER () AS n FROM leaf{_LEAF_LEVELS}),
+{upper}
+SELECT doc_id, leaf, subroot, h AS root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = h AS verified
+FROM src_way{_SOURCE_LEVELS} CROSS JOIN src{_SOURCE_LEVELS}"""
+
+
+@query("op12_merkle_manifest", _merkle_sql())
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.verify(documents(spark, sf))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score_texts(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))

@@ -65,14 +65,20 @@ def vocabulary(
     """The ``size`` most frequent terms among those in at least ``min_df`` texts.
 
     Equal counts go by term, so the choice does not depend on the partitioning.
-    The text is read once: the counts are written to the shared folder, cut into
-    ranges of rank, and only the ranges that ``size`` reaches are ranked, each by
-    itself. The result is written too, so that its size is known to a join.
+    The text is read once: the counts are written to the shared folder. Only if there
+    are more than ``size`` are they cut into ranges of rank, of which those that ``size``
+    reaches are ranked, each by itself. The result is written too, so that its size is
+    known to a join.
     ``eligible`` names a column for the number of terms there were to choose from.
     """
     frequent = _term_counts(df, words).where(F.col("doc_freq") >= F.lit(min_df))
+    written = materialise(frequent, "terms")
+    n_terms = written.count()
+    if n_terms <= size:
+        total = [F.lit(n_terms).cast("long").alias(eligible)] if eligible else []
+        return written.select("term", "doc_freq", "term_count", *total)
     order = [F.desc("term_count"), F.asc("term")]
-    placed = in_ranges(materialise(frequent, "terms"), order, "term_ranges")
+    placed = in_ranges(written, order, "term_ranges")
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     reached = with_sums_before(placed, {"terms": F.count("*")}).where(F.col("terms_before") < size)
     kept = reached.withColumn("_rank", F.col("terms_before") + inside).where(F.col("_rank") <= size)

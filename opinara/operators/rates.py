@@ -131,3 +131,31 @@ def count_stages(stages: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in stages.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def store_tally(
+    df: DataFrame, path: str, day: str, keys: Sequence[str], measures: Mapping[str, str], days: Sequence | None = None
+) -> None:
+    """Write the tallies of ``df`` by day and keys; with ``days``, those days anew and no others.
+
+    Each day is a partition of its own, and only the days written are replaced, so
+    appended or corrected days cost one reading of them. A day named in ``days`` that has no
+    rows any more keeps nothing. The rows of the given days must all be in ``df``.
+    """
+    chosen = df if days is None else df.where(F.col(day).isin(list(days)))
+    tallied = tally(chosen, [day, *keys], measures)
+    if days is not None:
+        # A row of zeros for each day replaces what was there, should no other row come.
+        listed = df.sparkSession.createDataFrame([(d,) for d in days], df.select(day).schema)
+        blank = [F.lit(None).cast(t).alias(c) for c, t in tallied.dtypes if c in keys]
+        zeros = [F.lit(0).cast(t).alias(c) for c, t in tallied.dtypes if c not in keys and c != day]
+        tallied = tallied.unionByName(listed.select(day, *blank, *zeros))
+    write = tallied.write.mode("overwrite").partitionBy(day)
+    write.option("partitionOverwriteMode", "static" if days is None else "dynamic").parquet(path)
+
+
+def stored_rates(
+    stored: DataFrame, keys: Keys, names: Iterable[str], order: Sequence[Column] | None = None, support: str | None = None
+) -> DataFrame:
+    """``rates`` from stored tallies of any days, by any of the day and the keys."""
+    return rates_of_tally(stored.where("n_rows > 0"), keys, names, order, support)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from opinara.functions import (
 )
 from opinara.operators import evaluate, features, joins, models, prep, report
 from opinara.operators import rates as R
+from opinara.operators.many_models import Fit, cross_validate_all, fit_all, pack
 from opinara.operators.words import with_text, with_words
 from opinara.plans import flows, sql
 from opinara.plans import oracles as O
@@ -665,7 +667,8 @@ def fea_presence(spark: SparkSession, sf: str) -> DataFrame:
 
 def _labelled_words(spark: SparkSession, sf: str) -> DataFrame:
     labels = prep.slim(S.label_rows(spark, sf), prep.LABEL_COLUMNS)
-    return flows.labelled_words(S.spread(S.comments(spark, sf)), labels)
+    comments = S.comments(spark, sf).join(labels.select("iid"), F.col("id") == F.col("iid"), "left_semi")
+    return flows.labelled_words(comments.repartition(spark.sparkContext.defaultParallelism), labels)
 
 
 def _trained(
@@ -765,28 +768,33 @@ _GRID = (0.1, 1.0)
 
 
 def _validated(spark: SparkSession, sf: str, reg_params: tuple[float, ...]) -> DataFrame:
-    """Rows trained on, and whether the mean area over the folds is one, by model and value."""
+    """By model, penalty and fold: the fold's classes, the rows trained on, and whether there is an area."""
     labelled = _labelled_words(spark, sf)
     training, _ = models.hash_split(labelled, "id")
-    vectors = features.fit_vocabulary(labelled).transform(training).drop("words")
-    written = materialise(vectors, "vectors")
-    rows = []
-    for name, target in models.TARGETS.items():
-        areas = models.cross_validate(written, target, reg_params).avgMetrics
-        rows += [
-            (name, float(reg), bool(0.0 <= area <= 1.0))
-            for reg, area in zip(reg_params, areas, strict=True)
-        ]
-    found = spark.createDataFrame(rows, "model string, reg_param double, area_in_range boolean")
-    return found.withColumn("n_training", F.lit(written.count()))
+    folded = features.fit_vocabulary(labelled).transform(training).withColumn("fold", models.fold_of("id"))
+    labels = {name: target.label for name, target in models.TARGETS.items()}
+    found, _ = cross_validate_all(
+        folded.drop("words"), labels, reg_params, models.FOLDS, most_steps=models.MAX_ITERATIONS
+    )
+    everything = found.groupBy("model", "reg_param").agg(F.sum(F.col("n_pos") + F.col("n_neg")).alias("n_all"))
+    return found.join(everything, ["model", "reg_param"]).select(
+        "model", "reg_param", "fold", "n_pos", "n_neg",
+        (F.col("n_all") - F.col("n_pos") - F.col("n_neg")).alias("n_training"),
+        F.col("auc").between(0.0, 1.0).alias("has_area"),
+    )
 
 
 def _validated_sql(reg_params: tuple[float, ...]) -> str:
     values = ", ".join(f"({value}::DOUBLE)" for value in reg_params)
+    fold = O.hash_bucket("id", models.FOLDS, models.SEED + 1)
     return _by_model(
-        f"""SELECT 'MODEL' AS model, reg_param, TRUE AS area_in_range,
-            (SELECT count(*) FROM {_TARGET_ROWS} WHERE training) AS n_training
-            FROM (VALUES {values}) AS grid(reg_param)"""
+        f"""SELECT 'MODEL' AS model, reg_param, fold, n_pos, n_neg,
+            CAST(sum(n_pos + n_neg) OVER (PARTITION BY reg_param) - n_pos - n_neg AS BIGINT) AS n_training,
+            CASE WHEN n_pos > 0 AND n_neg > 0 THEN TRUE END AS has_area
+            FROM (SELECT CAST({fold} AS INTEGER) AS fold, count(*) FILTER (WHERE LABEL = 1) AS n_pos,
+                         count(*) FILTER (WHERE LABEL = 0) AS n_neg
+                  FROM {_TARGET_ROWS} WHERE training GROUP BY 1)
+            CROSS JOIN (VALUES {values}) AS grid(reg_param)"""
     )
 
 
@@ -800,6 +808,46 @@ def ml_grid(spark: SparkSession, sf: str) -> DataFrame:
     return _validated(spark, sf, _GRID)
 
 
+# Of one-of-many features without a penalty, the optimum is known: differences of log odds.
+_SEGMENTS = ("AUTOMOBILE", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+def _saturated_sql() -> str:
+    fold = O.hash_bucket("c_custkey", models.FOLDS, models.SEED + 1)
+    odds = "ln(sum(y)::DOUBLE / (count(*) - sum(y)))"
+    return f"""
+        WITH marked AS (
+            SELECT c_mktsegment AS segment, {fold} AS fold, unnest([
+                {{'model': 'rich', 'y': (c_acctbal > 4500)::INT}}, {{'model': 'even', 'y': (c_nationkey % 2 = 0)::INT}}
+            ]) AS m FROM customer),
+        fitted AS (
+            SELECT m.model, f.fold::INT AS fold, segment, ln(sum(m.y)::DOUBLE / (count(*) - sum(m.y))) AS odds
+            FROM marked JOIN (SELECT unnest(range({models.FOLDS})) AS fold) f ON marked.fold <> f.fold GROUP BY ALL)
+        SELECT model, fold, segment, round(a.odds - coalesce(b.odds, 0), 4) AS weight
+        FROM fitted a LEFT JOIN (SELECT model, fold, odds FROM fitted WHERE segment = 'BUILDING') b
+        USING (model, fold) WHERE segment <> 'BUILDING'"""
+
+
+@query("ml_joint_optimum", _saturated_sql())
+def ml_joint_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    """Two targets and all folds over market segments, fitted together: weights against one segment."""
+    flags = {f"_{s}": (F.col("c_mktsegment") == s).cast("double") for s in _SEGMENTS}
+    assembler = VectorAssembler(inputCols=list(flags), outputCol="features")
+    rows = assembler.transform(S.table(spark, sf, "customer").withColumns(flags))
+    rows = rows.select(
+        "features", (F.col("c_acctbal") > 4500).cast("int").alias("rich"), (F.col("c_nationkey") % 2 == 0).cast("int").alias("even"),
+        models.fold_of("c_custkey").alias("fold"),
+    )
+    plan = [Fit(label, 0.0, fold) for label in ("rich", "even") for fold in range(models.FOLDS)]
+    fitted = fit_all(pack(rows, ["rich", "even"], "fold"), plan)
+    found = [
+        (fit.label, fit.without, segment, round(float(fitted.coefficients[j, i]), 4))
+        for i, fit in enumerate(fitted.fits)
+        for j, segment in enumerate(_SEGMENTS)
+    ]
+    return spark.createDataFrame(found, "model string, fold int, segment string, weight double")
+
+
 @query(
     "ml_split",
     f"""SELECT CAST(doc_id AS VARCHAR) AS id,
@@ -951,6 +999,37 @@ def eval_roc_points(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.roc(_orders(spark, sf, "F"), "score", "label")
 
 
+@query("eval_roc_corners", O.roc_corners("orders", "o_totalprice", "o_orderstatus = 'F'"))
+def eval_roc_corners(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.roc_corners(_orders(spark, sf, "F"), "score", "label")
+
+
+@query("eval_roc_corners_ties", O.roc_corners(_BALANCES, "score", "label"))
+def eval_roc_corners_ties(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.roc_corners(_balances(spark, sf), "score", "label")
+
+
+@query("eval_auc_histogram", O.histogram_area("orders", "o_totalprice", "(o_orderstatus = 'F')", 0, 500_000, 512))
+def eval_auc_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.auc_from_histogram(_orders(spark, sf, "F"), "score", "label", 0, 500_000, 512)
+
+
+@query(
+    "eval_auc_by_source",
+    f"""SELECT lang, n_pos, n_neg, (rank_sum - n_pos * (n_pos + 1) / 2.0::DOUBLE) / nullif(n_pos * n_neg, 0) AS auc
+        FROM (SELECT lang, count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y = 0) AS n_neg,
+                     sum(r) FILTER (WHERE y = 1) AS rank_sum
+              FROM (SELECT lang, quality AS y, rank() OVER (PARTITION BY lang ORDER BY n_chars)
+                           + (count(*) OVER (PARTITION BY lang, n_chars) - 1) / 2.0::DOUBLE AS r
+                    FROM documents JOIN labels USING (doc_id)) GROUP BY lang)""",
+)
+def eval_auc_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """How well a text's length tells its quality, for each language, in one ranking."""
+    lengths = S.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    labelled = lengths.join(S.table(spark, sf, "labels"), "doc_id")
+    return evaluate.areas(labelled, "lang", "n_chars", "quality")
+
+
 @query(
     "eval_score_label",
     """SELECT o_totalprice AS score,
@@ -1007,6 +1086,16 @@ def rpt_roc_models(spark: SparkSession, sf: str) -> DataFrame:
 # Reports
 
 
+@query("rate_by_day_stored", O.both_rates("date", O.SCORED_EVENTS))
+def rate_by_day_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates from stored tallies: all days but the last two, then the last three anew."""
+    events, path = S.event_days(spark, sf), scratch_path(spark, "tallies")
+    days = [r.date for r in events.select("date").distinct().orderBy(F.desc("date")).limit(3).collect()]
+    R.store_tally(events.where(~F.col("date").isin(days[:2])), path, "date", ["com_score"], report.BOTH)
+    R.store_tally(events, path, "date", ["com_score"], report.BOTH, days)
+    return R.stored_rates(spark.read.parquet(path), ["date"], report.BOTH)
+
+
 @query(
     "rpt_time",
     O.both_rates(
@@ -1155,7 +1244,7 @@ def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
 )
 def opinion_by_place(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens are counted where the text lies; only ids, places and counts are joined."""
-    worded = with_words(prep.drop_marked(S.comments(spark, sf)))
+    worded = with_words(prep.drop_marked(S.spread(S.comments(spark, sf))))
     counted = worded.select(
         "id", "author_flair_text", F.array_size("words").cast("long").alias("n_words")
     )

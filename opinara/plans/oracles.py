@@ -184,3 +184,33 @@ def area(source: str, score: str, label: str) -> str:
 
 def hash_bucket(value: str, buckets: int, seed: int) -> str:
     return f"('0x' || substr(md5('{seed}:' || {value}), 1, 8))::BIGINT % {buckets}"
+
+
+def roc_corners(source: str, score: str, label: str) -> str:
+    """The points where the next step differs from the last, and the start at infinity."""
+    return f"""
+        SELECT 'infinity'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+        UNION ALL
+        SELECT score, CAST(n_reached AS DOUBLE) / nullif(n_all, 0), CAST(p_reached AS DOUBLE) / nullif(p_all, 0)
+        FROM (SELECT score, sum(n) OVER w AS n_reached, sum(p) OVER w AS p_reached,
+                     sum(n) OVER () AS n_all, sum(p) OVER () AS p_all,
+                     row_number() OVER w = 1 OR row_number() OVER w = count(*) OVER ()
+                     OR lead(n) OVER w <> n OR lead(p) OVER w <> p AS corner
+              FROM (SELECT CAST({score} AS DOUBLE) AS score, count(*) FILTER (WHERE {label}) AS p,
+                           count(*) FILTER (WHERE NOT {label}) AS n
+                    FROM {source} WHERE {score} IS NOT NULL GROUP BY 1)
+              WINDOW w AS (ORDER BY score DESC))
+        WHERE corner"""
+
+
+def histogram_area(source: str, score: str, label: str, low: float, high: float, bins: int) -> str:
+    """Area and its bound from counts of both classes in equal parts of the scores."""
+    share = f"floor(({score} - {float(low)}::DOUBLE) / {float(high) - float(low)}::DOUBLE * {float(bins)}::DOUBLE)"
+    return f"""
+        SELECT sum(p)::BIGINT AS n_pos, sum(n)::BIGINT AS n_neg,
+               sum(p * (2 * below + n))::DOUBLE / (2.0::DOUBLE * sum(p)::DOUBLE * sum(n)::DOUBLE) AS auc,
+               sum(p * n)::DOUBLE / (2.0::DOUBLE * sum(p)::DOUBLE * sum(n)::DOUBLE) AS bound
+        FROM (SELECT p, n, coalesce(sum(n) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+              FROM (SELECT greatest(least({share}, {bins - 1}), 0) AS bin, count(*) FILTER (WHERE {label}) AS p,
+                           count(*) FILTER (WHERE NOT {label}) AS n
+                    FROM {source} WHERE {score} IS NOT NULL GROUP BY 1))"""

@@ -6,7 +6,9 @@ codec follows from the file's extension.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark import SparkContext
+from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -75,5 +77,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Model:
+    """A saved model of whatever kind: a pipeline, a classifier, or a cross-validation with its metrics."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkContext.getOrCreate())

@@ -70,3 +70,57 @@ def test_missing_class_scores_and_rows(spark):
 def test_nan_ranks_highest(spark):
     pairs = [(float("nan"), 1), (0.3, 0), (0.2, 1), (0.1, 0)]
     assert evaluate.auc(frame(spark, pairs), "s", "y").first().auc == pytest.approx(0.75)
+
+
+def corners_by_hand(pairs):
+    """The points of the whole curve, without those whose next step repeats the last."""
+    scores = sorted({s for s, _ in pairs}, reverse=True)
+    step = {t: (sum(s == t and y == 0 for s, y in pairs), sum(s == t and y == 1 for s, y in pairs)) for t in scores}
+    n_neg, n_pos = sum(y == 0 for _, y in pairs), sum(y == 1 for _, y in pairs)
+    points, fp, tp = [(float("inf"), 0.0, 0.0)], 0, 0
+    for i, t in enumerate(scores):
+        fp, tp = fp + step[t][0], tp + step[t][1]
+        if i in (0, len(scores) - 1) or step[t] != step[scores[i + 1]]:
+            points.append((t, fp / n_neg, tp / n_pos))
+    return points
+
+
+@pytest.mark.parametrize("name", ["many scores", "ties", "one score", "perfect"])
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_corners(spark, name, ranges):
+    found = evaluate.roc_corners(frame(spark, CASES[name]), "s", "y", ranges).collect()
+    assert sorted(map(tuple, found), key=lambda p: (-p[0], p[1:])) == corners_by_hand(CASES[name])
+
+
+def test_corners_of_one_class_and_of_nothing(spark):
+    one = evaluate.roc_corners(frame(spark, [(0.1, 1), (0.2, 1), (0.3, 1)]), "s", "y").collect()
+    assert [(r.threshold, r.fpr, r.tpr) for r in sorted(one, key=lambda r: -r.threshold)] == [
+        (float("inf"), 0.0, 0.0), (0.3, None, 1 / 3), (0.1, None, 1.0),
+    ]
+    nothing = evaluate.roc_corners(frame(spark, [(0.1, 1)]).limit(0), "s", "y").collect()
+    assert [tuple(r) for r in nothing] == [(float("inf"), 0.0, 0.0)]
+
+
+@pytest.mark.parametrize("bins", [1, 7, 1000])
+def test_histogram_area_lies_within_its_bound(spark, bins):
+    rng = random.Random(8)
+    pairs = [(rng.random() ** 2, rng.random() < 0.4 and 1 or 0) for _ in range(800)]
+    pairs += [(float("nan"), 1), (-1.0, 0), (5.0, 1), (1.0, 0), (0.0, 1), (None, 1)]
+    row = evaluate.auc_from_histogram(frame(spark, pairs), "s", "y", 0, 1, bins).first()
+    exact = evaluate.auc(frame(spark, pairs), "s", "y").first()
+    assert (row.n_pos, row.n_neg) == (exact.n_pos, exact.n_neg)
+    assert abs(row.auc - exact.auc) <= row.bound + 1e-12
+    assert row.bound <= 1 / bins + 0.01 if bins > 1 else row.bound == 0.5
+
+
+def test_histogram_area_of_one_class_and_of_nothing(spark):
+    one = evaluate.auc_from_histogram(frame(spark, [(0.5, 1)]), "s", "y", 0, 1).first()
+    assert tuple(one) == (1, 0, None, None)
+    nothing = evaluate.auc_from_histogram(frame(spark, [(0.5, 1)]).limit(0), "s", "y", 0, 1).first()
+    assert tuple(nothing) == (0, 0, None, None)
+
+
+def test_histogram_area_ranks_nothing(spark):
+    made = evaluate.auc_from_histogram(frame(spark, CASES["ties"]), "s", "y", 0, 6)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan

@@ -107,6 +107,25 @@ def test_saved_model_scores_the_same(trained, tmp_path):
     assert both.where("a <> b OR a_probability <> b_probability").count() == 0
 
 
+def test_saved_cross_validation_keeps_its_metrics(labelled, tmp_path):
+    vectors = fit_vocabulary(labelled).transform(labelled)
+    found = models.cross_validate(vectors, models.NEGATIVE, (0.1, 1.0), folds=2)
+    path = str(tmp_path / "validated")
+    save_model(found, path)
+    again = load_model(path)
+    assert again.avgMetrics == found.avgMetrics
+    assert again.bestModel.coefficients == found.bestModel.coefficients
+
+
+def test_penalties_are_chosen_for_all_targets_at_once(labelled):
+    vectors = fit_vocabulary(labelled).transform(labelled)
+    chosen = models.choose_reg_params(vectors, models.TARGETS, (0.1, 50.0), folds=2)
+    assert set(chosen) == {"pos", "neg"} and set(chosen.values()) <= {0.1, 50.0}
+    assert models.choose_reg_params(vectors, models.TARGETS, (1.0,)) == {"pos": 1.0, "neg": 1.0}
+    with pytest.raises(ValueError, match="two folds"):
+        models.choose_reg_params(vectors, models.TARGETS, (0.1, 1.0), folds=1)
+
+
 def test_scoring_before_the_join_gives_the_joined_rows(spark, trained):
     fitted, _ = trained
     comments = spark.createDataFrame(

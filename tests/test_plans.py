@@ -12,7 +12,10 @@ from opinara.plans import flows, standins
 
 SF_DIR = "/root/testdata/sf0.001"
 # Windows inside ranges of scores, and over one row for each range.
-RANGE_WINDOWS = {"eval_auc", "eval_auc_ties", "eval_roc_points", "rpt_roc"}
+RANGE_WINDOWS = {
+    "eval_auc", "eval_auc_by_source", "eval_auc_ties", "eval_roc_corners", "eval_roc_corners_ties", "eval_roc_points",
+    "ml_cross_validate", "ml_evaluate", "ml_grid", "op3_mixing", "rpt_roc", "rpt_roc_models",
+}
 
 
 @pytest.fixture(scope="module")

@@ -59,3 +59,24 @@ def test_rate_report_and_shades(scored):
     assert {tuple(r) for r in shade.collect()} == {(None, 1.0), ("b", 0.0)}
     shades = report.shade_report(both, {"positive": (0.0, 1.0), "negative": (0.0, 1.0)}, ["a"])
     assert shades.count() == 4 and shades.columns == ["state", "measure", "shade"]
+
+
+def test_stored_tallies_equal_rates_of_all_rows(spark, tmp_path):
+    """Days appended, corrected and emptied; other days' files stay as they are."""
+    path = str(tmp_path / "tallies")
+    schema = "day string, key string, f double"
+    first = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 0.0), ("b", "x", None), (None, "x", 1.0), ("c", "x", 1.0)], schema)
+    R.store_tally(first, path, "day", ["key"], {"rate": "f"})
+
+    def files(day):
+        return sorted(p.name for p in (tmp_path / "tallies" / f"day={day}").glob("*.parquet"))
+
+    before = files("a")
+    changed = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 0.0), ("b", "z", 1.0), ("b", "x", 0.0), (None, "x", 1.0), ("d", "x", 0.0)], schema)
+    R.store_tally(changed, path, "day", ["key"], {"rate": "f"}, ["b", "c", "d"])
+    assert files("a") == before
+    stored = spark.read.schema("key string, n_rows long, rate_sum double, rate_count long, day string").parquet(path)
+    for keys in (["day"], ["key"], ["day", "key"]):
+        found = R.stored_rates(stored, keys, ["rate"], support="n").select(*keys, "rate", "n")
+        wanted = R.rates(changed, keys, {"rate": "f"}, support="n").select(*keys, "rate", "n")
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)

@@ -8,17 +8,18 @@ top is the source's subroot; the subroots, null first and then bytewise, are joi
 likewise into the root.
 
 Leaves are numbered through the whole table, source after source, so each node stands
-over an unbroken run of leaves. The built levels are stored as node rows: a node's
-number, its parent's, its place among the parent's children, and its children's
-digests. A node over many leaves is stored once for each block of ``BLOCK`` leaves
-below it, so that a source with a third of all rows climbs on many keys.
-
-A proof is read off by a recursive query: from each leaf it ascends along the parents,
-appends at each node the digests beside the way, and folds the given digest into the
+over an unbroken run of leaves. The built levels are stored as node rows, two levels
+to a row: a node's number, the digests of its children and of their children, and a
+link to its own parent row, which also says where below that the node is. A node over
+many leaves is stored once for each block of ``BLOCK`` leaves below it, so that a source
+with a third of all rows climbs on many keys.
+
+A proof is read off by a recursive query: from each leaf it ascends along the links,
+appends at each node row the digests beside the way, and folds the given digest into the
 node's. If the last is the root, the row is as it was.
 
 Digests travel as 32 bytes. No task holds more than one node's children or one leaf's
-way; only the number of levels and the root come to the driver.
+way; only the number of steps and the root come to the driver.
 
 Rows with equal ``doc_id`` go by their leaf; null ``doc_id`` comes first. Equal rows
 have equal leaves and each its own place. Empty texts have the length 0. An empty
@@ -42,13 +43,17 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ARITY = 3
 # Leaves that share a key when they meet the same node.
 BLOCK = 243
-# A node's number: its level above so many bits, the first leaf's number and place below.
-PLACE_BITS = 56
-# Levels of the tree over the sources are numbered from here.
-SOURCES_LEVEL = 64
-# Above log3 of any number of rows, twice.
-MOST_LEVELS = 120
-NODE = "level int, node long, parent long, idx int, digest binary, children array<binary>, low long, high long"
+# A node row holds two levels.
+SPAN = ARITY * ARITY
+# A node's number: its step above so many bits, the first leaf's number and place below.
+PLACE_BITS = 50
+# A link: a node's number above so many bits, the place among its children's children below.
+SLOT_BITS = 4
+# Steps of the tree over the sources are numbered from here.
+SOURCES_STEP = 32
+NODES = "node long, block long, link long, mids array<binary>, children array<binary>, single boolean"
+# Above log9 of any number of rows, twice.
+MOST_STEPS = 60
 
 
 def digest(text: Column) -> Column:
@@ -74,9 +79,8 @@ def leaf_digest(values: dict[str, Column]) -> Column:
 class Manifest:
     """The written leaves and nodes of a table, and its root in hexadecimal.
 
-    ``leaves``: ``leaf_no, block, doc_id, leaf, other, subroot, parent, idx``;
-    ``nodes``: ``node, block, parent, idx, children``. ``other`` is whatever digest the
-    leaf is to be checked with.
+    ``leaves``: ``leaf_no, doc_id, leaf, other, subroot, link``; ``nodes``: ``node, block, link,
+    mids, children, single``. ``other`` is whatever digest the leaf is to be checked with.
     """
 
     leaves: DataFrame
@@ -125,45 +129,54 @@ def _numbered(rows: DataFrame) -> DataFrame:
     )
 
 
-def _node_no(level: int, place: Column) -> Column:
-    return F.lit(level << PLACE_BITS) + place
+def _link(step: int, place: Column, slot: Column) -> Column:
+    """The link to a node and a place below it."""
+    node = F.lit(step << PLACE_BITS) + place
+    return F.shiftleft(node, SLOT_BITS) + slot
+
+
+def _linked(step: int, top: Column) -> Column:
+    """The link of a node of ``step``, or a leaf; ``top`` is that of a tree's last node."""
+    up = F.col("first") + F.floor(F.col("pos") / SPAN)
+    return F.when(F.col("n") > 1, _link(step + 1, up, F.col("pos") % SPAN)).otherwise(top)
+
+
+def _joined(digests: Column) -> Column:
+    return digest(F.concat_ws("", F.transform(digests, hex_text)))
 
 
-def _levels(level: DataFrame, at: int, most: int, top: Column) -> list[DataFrame]:
-    """The levels above ``level``, each written, and every node with its parent's number.
+def _steps(nodes: DataFrame, step: int, most: int, top: Column) -> list[DataFrame]:
+    """``nodes`` and the steps above them, each written, with the link of every node.
 
-    ``level``: ``tree, first, n, pos, digest, low, high`` with ``n`` nodes of ``tree`` on this
-    level, whose numbers begin at ``first``. ``top`` gives a tree's last node its parent.
+    ``nodes``: ``tree, first, n, pos, digest, low, high`` with ``n`` nodes of ``tree`` on this
+    step, whose numbers begin at ``first``, above the leaves ``low`` to ``high``.
     """
-    rows = []
+    built = []
     while True:
-        up = F.floor(F.col("pos") / ARITY)
-        more = F.col("n") > 1
-        linked = level.withColumns(
-            {
-                "parent": F.when(more, _node_no(at + 1, F.col("first") + up)).otherwise(top),
-                "idx": F.when(more, F.col("pos") % ARITY).otherwise(F.col("tree") % ARITY).cast("int"),
-                "node": _node_no(at, F.col("first") + F.col("pos")),
-            }
-        )
-        rows.append(linked)
+        node = F.lit(step << PLACE_BITS) + F.col("first") + F.col("pos")
+        built.append(nodes.withColumns({"node": node, "link": _linked(step, top)}))
         if most <= 1:
-            return rows
+            return built
         child = F.struct("pos", "digest")
-        joined = level.where("n > 1").groupBy("tree", "first", "n", up.alias("up")).agg(
+        grouped = nodes.where("n > 1").groupBy("tree", "first", "n", F.floor(F.col("pos") / SPAN).alias("up")).agg(
             F.transform(F.sort_array(F.collect_list(child)), lambda c: c["digest"]).alias("children"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
-        hexed = F.concat_ws("", F.transform("children", hex_text))
-        level = materialise(
-            joined.select(
-                "tree", "first", F.ceil(F.col("n") / ARITY).alias("n"), F.col("up").alias("pos"),
-                digest(hexed).alias("digest"), "children", "low", "high",
+        runs = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size("children") - 1) / ARITY).cast("int")),
+            lambda i: _joined(F.slice("children", i * ARITY + 1, F.lit(ARITY))),
+        )
+        grouped = grouped.withColumns({"mids": runs, "single": F.col("n") <= ARITY})
+        nodes = materialise(
+            grouped.select(
+                "tree", "first", F.ceil(F.col("n") / SPAN).alias("n"), F.col("up").alias("pos"),
+                F.when(F.col("single"), F.element_at("mids", 1)).otherwise(_joined(F.col("mids"))).alias("digest"),
+                "mids", "children", "single", "low", "high",
             ),
-            "merkle_level",
+            "merkle_step",
         )
-        at, most = at + 1, -(-most // ARITY)
+        step, most = step + 1, -(-most // SPAN)
 
 
 def build(docs: DataFrame, other: dict[str, Column] | None = None) -> Manifest:
@@ -176,44 +189,36 @@ def build(docs: DataFrame, other: dict[str, Column] | None = None) -> Manifest:
     size = numbered.agg(F.max("n_leaves"), F.max("tree") + 1).first()
     n_trees = size[1] or 0
     leaf_no = F.col("first") + F.col("pos")
-    level = numbered.select(
-        "tree", "first", F.col("n_leaves").alias("n"), "pos", F.col("leaf").alias("digest"),
-        leaf_no.alias("low"), leaf_no.alias("high"),
+    no_link = F.lit(None).cast("long")
+    up = F.floor(F.col("tree") / SPAN)
+    top = _link(SOURCES_STEP + 1, up, F.col("tree") % SPAN) if n_trees > 1 else no_link
+    leaves = numbered.withColumnRenamed("n_leaves", "n")
+    level = leaves.select(
+        "tree", "first", "n", "pos", F.col("leaf").alias("digest"), leaf_no.alias("low"), leaf_no.alias("high")
     )
-    above = _node_no(SOURCES_LEVEL + 1, F.floor(F.col("tree") / ARITY))
-    top = above if n_trees > 1 else F.lit(None).cast("long")
-    lower = _levels(level, 0, size[0] or 0, top)
+    lower = _steps(level, 0, size[0] or 0, top)
     subroots = _union([rows.where("n = 1").select("tree", "digest", "low", "high") for rows in lower])
-    no_parent = F.lit(None).cast("long")
+    subroots = materialise(subroots, "subroots")
     nothing = F.lit(0).cast("long")
-    # A leaf that is a subroot alone counts its own place; every other subroot its tree's run.
     trees = subroots.select(
         nothing.alias("tree"), nothing.alias("first"), F.lit(n_trees).cast("long").alias("n"),
         F.col("tree").alias("pos"), "digest", "low", "high",
     )
-    upper = _levels(materialise(trees, "subroots"), SOURCES_LEVEL, n_trees, no_parent)
-    kept = ["node", "parent", "idx", "children", "low", "high"]
-    # The first level of either tree are leaves and subroots, stored with what is below them.
+    upper = _steps(trees, SOURCES_STEP, n_trees, no_link)
+    # Leaves and subroots themselves, the first of either list, are stored with what is above them.
+    kept = ["node", "link", "mids", "children", "single", "low", "high"]
     nodes = _union([rows.select(kept) for rows in lower[1:] + upper[1:]])
     if nodes is None:
-        empty = "node long, block long, parent long, idx int, children array<binary>"
-        nodes = docs.sparkSession.createDataFrame([], empty)
+        nodes = docs.sparkSession.createDataFrame([], NODES)
     else:
-        nodes = nodes.select("node", _blocks("low", "high"), "parent", "idx", "children")
+        nodes = nodes.select("node", _blocks("low", "high"), "link", "mids", "children", "single")
     last = upper[-1].where("n = 1").select("digest").first()
     root = bytes(last[0]).hex() if last else None
     by_block = subroots.select(F.col("tree").alias("_tree"), F.col("digest").alias("subroot"), _blocks("low", "high"))
-    first_parent = lower[0].select(F.col("low").alias("leaf_no"), "parent", "idx", "tree")
-    leaves = numbered.select(
-        leaf_no.alias("leaf_no"), "doc_id", "leaf", "other", "tree",
-        F.when(F.col("n_leaves") > 1, _node_no(1, F.col("first") + F.floor(F.col("pos") / ARITY))).otherwise(top).alias("parent"),
-        F.when(F.col("n_leaves") > 1, F.col("pos") % ARITY).otherwise(F.col("tree") % ARITY).cast("int").alias("idx"),
-    ).withColumn("_block", F.floor(F.col("leaf_no") / BLOCK))
-    same = (F.col("tree") == F.col("_tree")) & (F.col("_block") == F.col("block"))
-    leaves = leaves.join(by_block, same).select(
-        "leaf_no", "block", "doc_id", "leaf", "other", "subroot", "parent", "idx"
-    )
-    return Manifest(materialise(leaves, "merkle_leaves"), materialise(nodes, "merkle_nodes"), root)
+    same = (F.col("tree") == F.col("_tree")) & (F.floor(F.col("leaf_no") / BLOCK) == F.col("block"))
+    found = leaves.select(leaf_no.alias("leaf_no"), "doc_id", "leaf", "other", "tree", _linked(0, top).alias("link"))
+    found = found.join(by_block, same).select("leaf_no", "doc_id", "leaf", "other", "subroot", "link")
+    return Manifest(materialise(found, "merkle_leaves"), materialise(nodes, "merkle_nodes"), root)
 
 
 def _blocks(low: str, high: str) -> Column:
@@ -240,38 +245,38 @@ def _unlimited_recursion(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-CLIMB = """
-WITH RECURSIVE climb (leaf_no, block, node, idx, folded, siblings, step) MAX RECURSION LEVEL {levels} AS (
-    SELECT leaf_no, block, parent, idx, other, CAST('' AS BINARY), 0 FROM {leaves}
+CLIMB = f"""
+WITH RECURSIVE climb (leaf_no, link, folded, siblings) MAX RECURSION LEVEL {MOST_STEPS} AS (
+    SELECT leaf_no, link, other, CAST('' AS BINARY) FROM {{leaves}}
     UNION ALL
-    SELECT c.leaf_no, c.block, n.parent, n.idx,
-           unhex(sha2(concat_ws('', transform(n.children, (d, i) -> lower(hex(if(i = c.idx, c.folded, d))))), 256)),
-           unhex(concat_ws('', transform(filter(n.children, (d, i) -> i <> c.idx), d -> hex(d)))),
-           c.step + 1
-    FROM climb c JOIN {nodes} n ON n.node = c.node AND n.block = c.block
+    SELECT leaf_no, link,
+           if(single, mid, unhex(sha2(concat_ws('', transform(mids, (d, i) -> lower(hex(if(i = run, mid, d))))), 256))),
+           unhex(concat(concat_ws('', transform(filter(own, (d, i) -> i <> place), d -> hex(d))),
+                        if(single, '', concat_ws('', transform(filter(mids, (d, i) -> i <> run), d -> hex(d))))))
+    FROM (
+        SELECT *, unhex(sha2(concat_ws('', transform(own, (d, i) -> lower(hex(if(i = place, folded, d))))), 256)) AS mid
+        FROM (
+            SELECT c.leaf_no, n.link, c.folded, n.single, n.mids, slot % {ARITY} AS place, slot DIV {ARITY} AS run,
+                   slice(n.children, CAST(slot DIV {ARITY} * {ARITY} + 1 AS INT), {ARITY}) AS own
+            FROM (SELECT *, link & {(1 << SLOT_BITS) - 1} AS slot FROM climb) c
+            JOIN {{nodes}} n ON n.node = shiftright(c.link, {SLOT_BITS}) AND n.block = c.leaf_no DIV {BLOCK}))
 )
-SELECT leaf_no, folded, siblings, step FROM climb"""
+SELECT leaf_no, folded, siblings, coalesce(link, {(1 << 63) - 1}) AS reached FROM climb"""
 
 
 def proofs(manifest: Manifest) -> DataFrame:
-    """``leaf_no, proof, folded``: each leaf's siblings up to the root, and what its check folds to.
+    """``leaf_no, proof, folded``: ``H`` of each leaf's siblings, and what its check folds to.
 
-    ``proof`` is the siblings' digests in hexadecimal, one after the other.
+    Links rise along the way, and the last is null.
     """
     spark = manifest.leaves.sparkSession
     with _unlimited_recursion(spark):
-        climbed = spark.sql(
-            CLIMB.format(levels=MOST_LEVELS, leaves="{leaves}", nodes="{nodes}"),
-            leaves=manifest.leaves,
-            nodes=manifest.nodes,
-        )
-        climbed = materialise(climbed, "climb")
-    # A leaf has one row for each level.
-    steps = F.sort_array(F.collect_list(F.struct("step", "siblings")))
-    gathered = climbed.groupBy("leaf_no").agg(steps.alias("steps"), F.max_by("folded", "step").alias("folded"))
-    return gathered.select(
-        "leaf_no", F.concat_ws("", F.transform("steps", lambda s: hex_text(s["siblings"]))).alias("proof"), "folded"
-    )
+        climbed = spark.sql(CLIMB, leaves=manifest.leaves, nodes=manifest.nodes)
+        # A leaf has one row for each step.
+        steps = F.sort_array(F.collect_list(F.struct("reached", "siblings")))
+        gathered = climbed.groupBy("leaf_no").agg(steps.alias("steps"), F.max_by("folded", "reached").alias("folded"))
+        siblings = F.concat_ws("", F.transform("steps", lambda s: hex_text(s["siblings"])))
+        return materialise(gathered.select("leaf_no", digest(siblings).alias("proof"), "folded"), "proofs")
 
 
 def without_line_feeds(docs: DataFrame) -> Column:
@@ -290,7 +295,7 @@ def verify(docs: DataFrame, text: Column | None = None) -> DataFrame:
         hex_text(F.col("leaf")).alias("leaf"),
         hex_text(F.col("subroot")).alias("subroot"),
         F.lit(manifest.root).cast("string").alias("root"),
-        F.sha2("proof", 256).alias("proof_sha256"),
+        hex_text(F.col("proof")).alias("proof_sha256"),
         hex_text(F.col("folded")).alias("folded_root"),
         (hex_text(F.col("folded")) == F.lit(manifest.root)).alias("verified"),
     )

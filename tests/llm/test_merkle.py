@@ -75,7 +75,7 @@ def rows_of(n, sources):
     ]
 
 
-@pytest.mark.parametrize("n", [1, 3, 4, 40])
+@pytest.mark.parametrize("n", [1, 3, 4, 10, 28, 40, 90])
 def test_one_source(spark, n):
     rows = rows_of(n, ["s"])
     assert verified(spark, rows) == by_hand(rows)
@@ -88,9 +88,8 @@ def test_many_sources_of_all_sizes(spark):
     assert verified(spark, rows) == by_hand(rows)
 
 
-def test_a_source_over_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "BLOCK", 5)
-    rows = rows_of(130, ["a", "a", "a", "b"])
+def test_a_source_over_several_blocks(spark):
+    rows = rows_of(2 * merkle.BLOCK + 7, ["a", "a", "a", "b"])
     assert verified(spark, rows) == by_hand(rows)
 
 

@@ -150,6 +150,19 @@ def term_vectors(docs: DataFrame, terms: list[bytes]) -> DataFrame:
     return typed.mapInArrow(count, VECTORS)
 
 
+def texts_by_term(vectors: DataFrame, n_terms: int) -> DataFrame:
+    """``term, n``: how many texts have each term; a task adds up its own first."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_terms, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(np.asarray(batch.column("terms").flatten()), minlength=n_terms)
+        there = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(there.astype(np.int32)), pa.array(total[there])], ["term", "n"])
+
+    return vectors.select("terms").mapInArrow(add, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
 # Above any number of terms.
 TERM_SPACE = 1 << 20
 
@@ -346,7 +359,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple
     both = taken.get(0, 0) and taken.get(1, 0)
     terms = select_terms(chosen, taken.get(1, 0), taken.get(0, 0)) if both else []
     vectors = materialise(term_vectors(docs, terms), "term_vectors")
-    counted = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    counted = texts_by_term(vectors, len(terms))
     n_texts = vectors.count()
     idf = np.zeros(len(terms))
     for row in counted.collect():  # a row for each term

@@ -200,6 +200,8 @@ def test_quality_lm(spark, docs, empty):
     assert quality_lm.judge(docs, labels).where("n_tokens = 1 and kept").count() == 0
     with pytest.raises(ValueError):
         quality_lm.judge(every, labels.where("false"))
+    assert quality_lm.judge(empty, labels).collect() == []
+    assert quality_lm.judge(empty, labels.where("false")).collect() == []
 
 
 def test_quality_lm_keeps_the_model_off_the_driver(spark, docs, monkeypatch):

@@ -12,7 +12,7 @@ fitted to; the intercept is free. That is what ``LogisticRegression`` minimises
 defaults, so both have the same optimum.
 
 Vectors are packed once, in blocks of rows, into the shared folder. The driver holds
-``HISTORY`` pairs of matrices; ``columns_at_once`` bounds them, and more models than fit
+``HISTORY`` pairs of matrices; ``DRIVER_BYTES`` bounds them, and more models than fit
 are optimised some at a time. No row reaches the driver.
 """
 

@@ -104,6 +104,60 @@ def test_near_duplicates_in_dense_regions(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
+def test_near_duplicates_held_by_single_links(spark):
+    """2000 edits of one template: 50 centres, each linked at 80 to 82 % to 39 others that are no links."""
+    rng = np.random.default_rng(8)
+    template = [f"t{i}" for i in range(300)]
+
+    def edited(words, n):
+        words = list(words)
+        for at in rng.choice(74, n, replace=False) * 4 + 3:
+            words[at] = f"v{rng.integers(60)}"
+        return words
+
+    texts = []
+    for _ in range(50):
+        centre = edited(template, 14)
+        texts += [centre, *(edited(centre, 8) for _ in range(39))]
+    keys = rng.permutation(len(texts))
+    shingles = {}
+    held = np.zeros((len(texts), 60_000), dtype=np.float32)
+    for row, words in enumerate(texts):
+        for i in range(len(words) - 3):
+            held[row, shingles.setdefault(tuple(words[i : i + 4]), len(shingles))] = 1
+    common = held @ held.T
+    sizes = held.sum(axis=1)
+    likeness = common / (sizes[:, None] + sizes[None] - common)
+    linked = 100 * common >= 80 * (sizes[:, None] + sizes[None] - common)
+    component = np.array(keys)
+    while True:
+        least = np.where(linked, component[None], len(texts)).min(axis=1)
+        if (least == component).all():
+            break
+        component = least
+    assert len(set(component)) >= 50 and (likeness[linked & (likeness < 0.82)].size > 2000)
+    rows = [(int(k), " ".join(w), "en", "s", 1, "clash", "clash", 1) for k, w in zip(keys, texts, strict=True)]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, SCHEMA), shingle=4).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(zip(keys.tolist(), component.tolist(), strict=True))
+
+
+def test_near_duplicates_of_an_unlike_first(spark):
+    """Links between texts that share a boilerplate with a smaller key's, and little else."""
+    rng = np.random.default_rng(9)
+    shared = " ".join(f"b{i}" for i in range(70))
+    rows = []
+    for family in range(60):
+        own = [f"f{family}x{i}" for i in range(60 + family)]
+        for copy in range(3):
+            words = list(own)
+            words[int(rng.integers(len(words)))] = f"c{copy}"
+            rows.append((family * 3 + copy, shared + " " + " ".join(words), "en"))
+    expected = linked_by_hand(rows)
+    docs = spark.createDataFrame([(*r, "s", 1, "clash", "clash", 1) for r in rows], SCHEMA)
+    found = near_dup.near_duplicates(docs, shingle=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+
+
 def test_quality_rules(docs, empty, rows):
     wanted = Counter()
     for key, text, _ in rows:

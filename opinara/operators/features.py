@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,19 +14,62 @@ from opinara.session import materialise
 MIN_DOCUMENTS = 5.0
 VOCABULARY_SIZE = 1 << 18
 
+# Slots of a sketch of document counts in each of its rows, and the seeds of the rows.
+SKETCH_SLOTS = 1 << 20
+SKETCH_SEEDS = (17, 4711)
+
+
+def _slot(term: str, row: int, slots: int) -> Column:
+    """The slot of a term in a row of the sketch; rows do not overlap."""
+    hashed = F.xxhash64(F.lit(SKETCH_SEEDS[row]), F.col(term))
+    return (F.pmod(hashed, F.lit(slots)) + row * slots).cast("int")
+
+
+def count_sketch(df: DataFrame, words: str = "words", slots: int = SKETCH_SLOTS) -> DataFrame:
+    """``slot, n``: upper bounds of how many texts hold a term, whatever the number of terms.
+
+    Each text adds one to a slot in every row of the sketch for each of its terms, so
+    no slot of a term holds less than the term's texts. Sketches of parts of a table add
+    up by slot; a task sends at most one row for each slot, and no term.
+    """
+    terms = df.select(F.explode_outer(F.array_distinct(words)).alias("term")).where("term is not null")
+    own = F.array(*[_slot("term", row, slots) for row in range(len(SKETCH_SEEDS))])
+    return terms.select(F.explode_outer(own).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+
+
+def prunable(terms: DataFrame, sketch: DataFrame, min_df: float, slots: int = SKETCH_SLOTS) -> DataFrame:
+    """The rows of ``terms`` whose upper bound reaches ``min_df``; no such term is left out.
+
+    The slots that reach it, two for each of ``slots`` at most, are sent to the tasks.
+    """
+    reached = sketch.where(F.col("n") >= F.lit(min_df)).select("slot")
+    for row in range(len(SKETCH_SEEDS)):
+        own = reached.where(F.col("slot").between(row * slots, (row + 1) * slots - 1))
+        terms = terms.withColumn("_slot", _slot("term", row, slots))
+        terms = terms.join(F.broadcast(own), F.col("_slot") == F.col("slot"), "left_semi").drop("_slot")
+    return terms
+
 
 def document_frequency(
-    df: DataFrame, words: str = "words", min_df: float = MIN_DOCUMENTS
+    df: DataFrame, words: str = "words", min_df: float = MIN_DOCUMENTS, sketch: DataFrame | None = None,
+    slots: int = SKETCH_SLOTS,
 ) -> DataFrame:
     """How many texts hold each term, for terms in at least ``min_df`` texts.
 
     Each text gives a term once, so the count before the shuffle leaves a task
     with one row for each term it met, however common the term.
 
+    With a ``sketch`` of the same texts (``count_sketch``, of as many ``slots``), terms
+    that cannot reach ``min_df`` do not enter the shuffle. The rows are the same. The
+    sketch reads the words once more, so it pays for words that are written, and where
+    most terms are rare.
+
     ``explode_outer`` because for ``explode`` Spark infers a filter on the array
     and pushes it below the text stage, which then runs again for the filter.
     """
     terms = df.select(F.explode_outer(F.array_distinct(words)).alias("term"))
+    if sketch is not None:
+        terms = prunable(terms, sketch, min_df, slots)
     counted = terms.groupBy("term").agg(F.count("*").alias("doc_freq"))
     return counted.where(F.col("term").isNotNull() & (F.col("doc_freq") >= F.lit(min_df)))
 

@@ -642,17 +642,25 @@ def fea_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return features.vocabulary(_labelled_documents(spark, sf))
 
 
-@query(
-    "fea_doc_freq",
-    f"""WITH {O.DOCUMENT_TEXT}
+_DOC_FREQ = f"""WITH {O.DOCUMENT_TEXT}
         SELECT term, count(DISTINCT id) AS doc_freq
         FROM (SELECT id, unnest(string_split(combined, ' ')) AS term FROM whole)
-        GROUP BY term HAVING count(DISTINCT id) >= 5""",
-)
+        GROUP BY term HAVING count(DISTINCT id) >= 5"""
+
+
+@query("fea_doc_freq", _DOC_FREQ)
 def fea_doc_freq(spark: SparkSession, sf: str) -> DataFrame:
     return features.document_frequency(with_words(_documents(spark, sf)))
 
 
+@query("fea_doc_freq_pruned", _DOC_FREQ)
+def fea_doc_freq_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms that a sketch rules out never enter the shuffle."""
+    words = materialise(with_words(_documents(spark, sf)).select("words"), "words")
+    sketch = materialise(features.count_sketch(words), "sketch")
+    return features.document_frequency(words, sketch=sketch)
+
+
 @query(
     "fea_presence",
     f"{_LABELLED_TERMS} SELECT DISTINCT id AS doc_id, term FROM terms SEMI JOIN kept USING (term)",

@@ -28,6 +28,41 @@ def test_document_frequency(worded, counted):
     assert found == {term: n for term, n in counted[0].items() if n >= 5}
 
 
+@pytest.mark.parametrize("slots", [1, 50, 5000, 1 << 20])
+def test_pruned_document_frequency(worded, counted, slots):
+    """The rows of plain counting, however crowded the sketch, which never counts too few."""
+    sketch = features.count_sketch(worded, slots=slots).cache()
+    found = {r.term: r.doc_freq for r in features.document_frequency(worded, sketch=sketch, slots=slots).collect()}
+    assert found == {term: n for term, n in counted[0].items() if n >= 5}
+    assert sketch.count() <= 2 * slots
+
+
+def test_sketches_add_up_and_spare_the_shuffle(spark, worded, counted):
+    many = worded.select("words").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    many = many.select(
+        F.when(F.col("copy") == 1, F.col("words")).otherwise(
+            F.transform("words", lambda w: F.when(F.xxhash64(w) % 2 == 0, w).otherwise(F.concat(w, "copy")))
+        ).alias("words")
+    ).cache()
+    plain = {r.term: r.doc_freq for r in features.document_frequency(many).collect()}
+    sketch = features.count_sketch(many).cache()
+    assert plain == {r.term: r.doc_freq for r in features.document_frequency(many, sketch=sketch).collect()}
+    halves = many.withColumn("half", F.xxhash64("words") % 2 == 0)
+    parts = [features.count_sketch(halves.where(h)) for h in ("half", "not half")]
+    added = parts[0].unionByName(parts[1]).groupBy("slot").agg(F.sum("n").alias("n"))
+    assert added.exceptAll(sketch).isEmpty() and sketch.exceptAll(added).isEmpty()
+    terms = many.select(F.explode("words").alias("term")).distinct()
+    assert features.prunable(terms, sketch, 5.0).count() < 0.5 * terms.count()
+
+
+def test_pruned_document_frequency_of_nothing(spark):
+    rows = [(None,), ([],), ([None, "a"],)] + [(["", "a", "a"],)] * 4
+    words = spark.createDataFrame(rows, "words array<string>")
+    for held in (words, words.limit(0)):
+        found = features.document_frequency(held, min_df=4, sketch=features.count_sketch(held))
+        assert sorted(found.collect()) == sorted(features.document_frequency(held, min_df=4).collect())
+
+
 @pytest.mark.parametrize("size", [1, 10, 700, 1 << 18])
 def test_vocabulary(worded, counted, size):
     documents, total = counted

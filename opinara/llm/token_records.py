@@ -34,6 +34,8 @@ import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +45,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from opinara.llm import text as T
 from opinara.session import scratch_path
 
 SHARD_BYTES = 16 << 20
 END_ID = 1
-# Distinct words, and stems of words, whose IDs a worker remembers.
-REMEMBERED_WORDS = 400_000
-# Texts encoded at a time.
-TEXTS = 1024
+# Distinct pieces of words whose IDs a task remembers.
+REMEMBERED = 400_000
+# Bytes of text encoded at a time.
+SLICE = 4 << 20
 # Marks that never join the letters before them; the apostrophe may.
 MARKS = b"!#$%&()*+,-./:;<=>?@[]^_`{|}~"
-LETTER_BYTES = frozenset(bytes([b]) for b in b"abcdefghijklmnopqrstuvwxyz")
+IS_MARK = np.zeros(256, dtype=bool)
+IS_MARK[list(MARKS)] = True
 # Fixed value: what the mask adds.
 MASK_DELTA = 0xA282EAD8
 
@@ -100,93 +104,116 @@ def frames(data: bytes) -> Iterator[tuple[int, bytes]]:
         at = end + 4
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """A worker's tokenizer."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _byte_letters() -> dict[int, str]:
+    """What byte-level tokenizers write for a byte: itself if it prints, else the next free character."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    free = iter(range(256, 512))
+    return {b: chr(b if b in prints else next(free)) for b in range(256)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class Encoder:
     """Token IDs of texts, as little-endian unsigned integers.
 
     The tokenizer drops white space and never joins what it separates, so a
-    text's IDs are its words' IDs in order. It lowers case and parts letters from
-    other marks, so a word that ends in a lower-case ASCII letter and then ASCII
-    marks has the IDs of its stem and of the marks. Each stem is encoded once for
-    as long as it is remembered, and stems of letters alone many at a time: each
-    is one piece, whose last token carries the end-of-word suffix.
+    text's IDs are its words' IDs in order. It lowers case and parts letters from other
+    marks, so a word that ends in a lower-case ASCII letter and then ASCII marks has the
+    IDs of its stem and of the marks. These pieces of a slice's words are told apart by
+    64-bit hashes; each distinct one is encoded once, and the texts' IDs are gathered
+    from theirs. A piece of letters alone, already in the tokenizer's normal form, is
+    one word to its byte-pair model, which is asked directly.
+
+    Pieces are remembered from slice to slice, up to ``REMEMBERED``, and go with the
+    encoder, which lives as long as its task.
     """
 
-    # What a Python worker remembers, kept from task to task.
-    shared: dict[tuple[str, int], Encoder] = {}
-
     def __init__(self, path: str, width: int):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.kind = np.dtype(f"<u{width}")
-        self.tokenizer = Tokenizer.from_file(path)
-        ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            ends[number] = token.endswith("</w>")
-        self.closes, self.known, self.coded = ends, {}, {}
-
-    @classmethod
-    def of(cls, path: str, width: int) -> Encoder:
-        if (path, width) not in cls.shared:
-            cls.shared[path, width] = cls(path, width)
-        return cls.shared[path, width]
-
-    def learn(self, stems: set[bytes]) -> None:
-        new = stems - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known = {}
-            new = stems
-        single, other = [], []
-        for stem in new:
-            held = stem.decode("utf-8", "replace")
-            plain = held.isalpha() and (
-                stem[:1] in LETTER_BYTES
-                if held.isascii()
-                else held == held.lower() and unicodedata.is_normalized("NFC", held)
-            )
-            (single if plain else other).append(stem)
-        encode, width = self.tokenizer.encode_batch_fast, self.kind.itemsize
-        for low in range(0, len(single), 256):
-            part = single[low : low + 256]
-            (found,) = encode([b" ".join(part).decode()], add_special_tokens=False)
-            ids = np.array(found.ids)
-            packed = ids.astype(self.kind).tobytes()
-            begin = 0
-            cuts = (np.flatnonzero(self.closes[ids]) + 1) * width
-            for stem, end in zip(part, cuts.tolist(), strict=True):
-                self.known[stem] = packed[begin:end]
-                begin = end
+        self.tokenizer = _tokenizer(path)
+        self.known: dict[int, bytes] = {}
+
+    def learn(self, names: list[int], pieces: list[bytes]) -> None:
+        merge, found, sizes, single, other = self.tokenizer.model.tokenize, [], [], [], []
+        for name, piece in zip(names, pieces, strict=True):
+            held = piece.decode("utf-8", "replace")
+            if held.isascii():  # in lower case already
+                plain, letters = held.isalpha(), held
+            else:
+                plain = held.isalpha() and held == held.lower() and unicodedata.is_normalized("NFC", held)
+                letters = piece.decode("latin-1").translate(BYTE_LETTERS)
+            if not plain:
+                other.append((name, held))
+                continue
+            tokens = merge(letters)
+            single.append(name)
+            sizes.append(len(tokens))
+            found += [token.id for token in tokens]
+        packed = np.array(found, dtype=self.kind).tobytes()
+        ends = np.cumsum([0, *sizes]) * self.kind.itemsize
+        for name, (low, high) in zip(single, pairwise(ends.tolist()), strict=True):
+            self.known[name] = packed[low:high]
         for low in range(0, len(other), 4096):
             part = other[low : low + 4096]
-            texts = [stem.decode("utf-8", "replace") for stem in part]
-            found = encode(texts, add_special_tokens=False)
-            for stem, encoded in zip(part, found, strict=True):
-                self.known[stem] = np.asarray(encoded.ids, dtype=self.kind).tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        every = set().union(*split)
-        new = every - self.coded.keys()
-        if len(self.coded) + len(new) > REMEMBERED_WORDS:
-            self.coded = {}
-            new = every
-        parts = []
-        for word in new:
-            if b"<|" in word:  # may hold a special token, so it stays whole
-                parts.append((word, word, b""))
-                continue
-            lower = word.lower()
-            stem = lower.rstrip(MARKS)
-            if stem == lower or stem[-1:] not in LETTER_BYTES:
-                parts.append((word, lower, b""))
-            else:
-                parts.append((word, stem, lower[len(stem) :]))
-        self.learn({stem for _, stem, _ in parts} | {marks for _, _, marks in parts if marks})
-        known = self.known
-        for word, stem, marks in parts:
-            self.coded[word] = known[stem] + known[marks] if marks else known[stem]
-        get = self.coded.__getitem__
-        return [b"".join(map(get, held)) for held in split]
+            coded = self.tokenizer.encode_batch_fast([held for _, held in part], add_special_tokens=False)
+            for (name, _), one in zip(part, coded, strict=True):
+                self.known[name] = np.asarray(one.ids, dtype=self.kind).tobytes()
+
+    def encode(self, texts: T.Texts) -> list[bytes]:
+        words, lowered = T.split_words(texts), T.lowered(texts)
+        low = lowered.data
+        stem_ends = _stem_ends(low, words)
+        # A word with "<|" may hold a special token, so it stays as it is.
+        opening = np.flatnonzero((low[:-1] == ord("<")) & (low[1:] == ord("|")))
+        apart = np.zeros(len(words.starts), dtype=bool)
+        apart[np.searchsorted(words.starts, opening, side="right") - 1] = True
+        stem_ends[apart] = words.ends[apart]
+        parted = stem_ends < words.ends
+        starts = np.insert(words.starts, np.flatnonzero(parted) + 1, stem_ends[parted])
+        ends = np.insert(stem_ends, np.flatnonzero(parted) + 1, words.ends[parted])
+        pieces = np.concatenate([[0], np.cumsum(1 + parted)])
+        hashes = T.span_hashes(lowered.prefix_hashes(), starts, ends)
+        if apart.any():
+            own = T.span_hashes(texts.prefix_hashes(), words.starts[apart], words.ends[apart])
+            hashes[pieces[:-1][apart]] = T.mix(own ^ np.uint64(1))
+        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        names = distinct.tolist()
+        new = [i for i, name in enumerate(names) if name not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {}
+            new = list(range(len(names)))
+        whole = np.zeros(len(starts), dtype=bool)
+        whole[pieces[:-1][apart]] = True
+        data, plain, where = texts.data.tobytes(), low.tobytes(), at[new]
+        spans = zip(starts[where].tolist(), ends[where].tolist(), whole[where].tolist(), strict=True)
+        self.learn([names[i] for i in new], [(data if raw else plain)[a:b] for a, b, raw in spans])
+        held = [self.known[name] for name in names]
+        width = self.kind.itemsize
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // width
+        flat, begins = np.frombuffer(b"".join(held), self.kind), np.cumsum(sizes) - sizes
+        counts = sizes[which]
+        first = np.concatenate([[0], np.cumsum(counts)])
+        packed = flat[np.repeat(begins[which] - first[:-1], counts) + np.arange(first[-1])].tobytes()
+        cuts = (first[pieces[words.first]] * width).tolist()
+        return [packed[a:b] for a, b in pairwise(cuts)]
+
+
+def _stem_ends(low: np.ndarray, words: T.Words) -> np.ndarray:
+    """Where each word's marks begin, if a letter a to z stands before them; else its end."""
+    other = np.maximum.accumulate(np.where(IS_MARK[low], -1, np.arange(len(low))))
+    last = other[words.ends - 1]
+    lettered = (last >= words.starts) & (low[last] >= 97) & (low[last] <= 122)
+    return np.where(lettered, last + 1, words.ends)
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -257,17 +284,14 @@ def write_records(
     ending = np.array([end_id], dtype=f"<u{width}").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = Encoder.of(tokenizer, width), None
+        encoder, writer = Encoder(tokenizer, width), None
         for batch in batches:
             if writer is None:
                 writer = _ShardWriter(folder, TaskContext.get().partitionId(), width)
             keys = batch.column(0).to_pylist()
-            column = batch.column(1)
             out: list[tuple] = []
-            for low in range(0, len(keys), TEXTS):
-                texts = [t or b"" for t in column.slice(low, TEXTS).to_pylist()]
-                coded = encoder.encode(texts)
-                for k, ids in zip(keys[low : low + TEXTS], coded, strict=True):
+            for texts in T.slices(batch.column(1), SLICE):
+                for k, ids in zip(keys[texts.low : texts.high], encoder.encode(texts), strict=True):
                     name, at = writer.add(k, ids + ending)
                     out.append((name, k, at, len(ids) // width + 1))
             yield pa.RecordBatch.from_arrays(

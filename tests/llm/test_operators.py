@@ -7,8 +7,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from opinara.llm import text as T
 from opinara.llm import (
     decontaminate,
     line_dedup,
@@ -277,6 +279,26 @@ def test_quality_lm_keeps_the_model_off_the_driver(spark, docs, monkeypatch):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-4) and a[3] == b[3]
 
 
+def test_encoder_equals_the_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    texts = [
+        "", " \t\n", "It's A.B.C. rock'n'roll, don't CAN'T!!", "a<|b <|end|> <|endoftext|>x X<|", "é É é İ ﬁ Ⅷ ǅ ß ẞ",
+        "中文字 mixed中文 a\u0085b a b  ", "x" * 5000 + "...", "12,345 a1b2! ...!? don't.", "naïve. über- ça,", "''' 's 't",
+        "\x00a\x00 ​z \U0001f600!", "Word word, word. word", "'s's it's's",
+    ]
+    tokenizer = Tokenizer.from_file(path)
+    wanted = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    column = pa.array([None, *[t.encode() for t in texts]], pa.binary())
+    for remembered, limit in ((400_000, 1 << 20), (5, 40), (5, 1 << 20)):
+        monkeypatch.setattr(token_records, "REMEMBERED", remembered)
+        encoder, found = token_records.Encoder(path, 2), []
+        for part in T.slices(column, limit):
+            found += encoder.encode(part)
+        assert found == [b"", *wanted]
+
+
 def test_token_records(spark, docs, empty, rows, tmp_path):
     from tokenizers import Tokenizer
 

@@ -51,9 +51,9 @@ from opinara.session import scratch_path
 SHARD_BYTES = 16 << 20
 END_ID = 1
 # Distinct pieces of words whose IDs a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # Bytes of text encoded at a time.
-SLICE = 4 << 20
+SLICE = 1 << 20
 # Marks that never join the letters before them; the apostrophe may.
 MARKS = b"!#$%&()*+,-./:;<=>?@[]^_`{|}~"
 IS_MARK = np.zeros(256, dtype=bool)

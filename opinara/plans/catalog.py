@@ -21,6 +21,7 @@ from opinara.functions import (
 from opinara.operators import evaluate, features, joins, models, prep, report
 from opinara.operators import rates as R
 from opinara.operators.many_models import Fit, cross_validate_all, fit_all, pack
+from opinara.operators.stages import Flow
 from opinara.operators.words import with_text, with_words
 from opinara.plans import flows, sql
 from opinara.plans import oracles as O
@@ -139,6 +140,21 @@ def snk_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return text.withColumn("date", parse_date(F.col("date")))
 
 
+@query("snk_resumed_flow", O.both_rates("date", O.SCORED_EVENTS))
+def snk_resumed_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """One run that stops after scoring, and a second that goes on to the report from its table."""
+    folder = scratch_path(spark, "flow")
+    for last in ("scored", "by_day"):
+        flow = Flow(spark, folder)
+        flow.add("scored", lambda events: events, S.event_days(spark, sf), passing=True)
+        flow.add("by_day", lambda scored: report.rate_report(scored, "date"), "scored")
+        rows = flow.table(last)
+    if (flow.made, flow.reused) != (["by_day"], ["scored"]):
+        raise AssertionError(f"made {flow.made}, reused {flow.reused}")
+    flow.finish()
+    return rows
+
+
 @query("snk_csv_submission_score", O.both_rates("sub_score", O.SCORED_LINES))
 def snk_csv_submission_score(spark: SparkSession, sf: str) -> DataFrame:
     return _through_csv(spark, report.rate_report(S.scored_lines(spark, sf), "sub_score"))

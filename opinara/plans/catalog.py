@@ -20,8 +20,11 @@ from opinara.functions import (
 )
 from opinara.operators import evaluate, features, joins, models, prep, report
 from opinara.operators import rates as R
+from opinara.operators.late import attach_labels_late
+from opinara.operators.ledger import stage_ledger, survivors, write_stages
 from opinara.operators.many_models import Fit, cross_validate_all, fit_all, pack
 from opinara.operators.stages import Flow
+from opinara.operators.stored_links import linked, store_comments, store_submissions
 from opinara.operators.words import with_text, with_words
 from opinara.plans import flows, sql
 from opinara.plans import oracles as O
@@ -34,10 +37,12 @@ from opinara.sources import (
     read_submissions,
     read_table,
     save_model,
+    schemas,
     write_json_lines,
     write_report_csv,
     write_table,
 )
+from opinara.sources.quarantine import Ingested, ingest_csv, ingest_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +112,77 @@ def src_csv_labels(spark: SparkSession, sf: str) -> DataFrame:
     return read_labels(spark, path)
 
 
+# Some lines cut short, some with a number that is none. Numbered by thread and turn.
+_LINE_NO = "(CAST(substr(link_id, 4) AS BIGINT) * 5 + com_score) % 10"
+
+
+def _doubtful_threads(spark: SparkSession, sf: str) -> Ingested:
+    number = (F.substring("link_id", 4, 18).cast("long") * 5 + F.col("com_score")) % 10
+    score = F.when(number == 1, F.lit("many")).otherwise(F.col("com_score").cast("string"))
+    time = F.when(number == 2, F.lit("soon")).otherwise((F.col("com_score") * 86400).cast("string"))
+    line = F.to_json(
+        F.struct(
+            "id", "body", "link_id", time.alias("created_utc"), "author_flair_text", score.alias("score")
+        )
+    )
+    cut = F.when(number == 0, F.left(line, F.length(line) - 1)).otherwise(line)
+    path = scratch_path(spark, "doubtful-json")
+    S.threads(spark, sf).select(cut.alias("value")).write.option("compression", "bzip2").text(path)
+    return ingest_json(spark, path, schemas.COMMENTS, scratch_path(spark, "ingested"), most_bad=0.5)
+
+
+@query(
+    "src_json_quarantine",
+    f"""SELECT CASE {_LINE_NO} WHEN 0 THEN 'malformed' WHEN 1 THEN 'field score'
+                    ELSE 'field created_utc' END AS reason, count(*) AS n_lines
+        FROM {O.THREADS} WHERE {_LINE_NO} < 3 GROUP BY 1""",
+)
+def src_json_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines set aside, counted by reason."""
+    return _doubtful_threads(spark, sf).by_reason()
+
+
+@query(
+    "src_json_kept_lines",
+    f"""SELECT id, body, link_id, CAST(com_score * 86400 AS BIGINT) AS created_utc,
+               author_flair_text, com_score AS score FROM {O.THREADS} WHERE {_LINE_NO} >= 3""",
+)
+def src_json_kept_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows left when bad lines have been set aside."""
+    return _doubtful_threads(spark, sf).good
+
+
+@query(
+    "src_csv_quarantine",
+    f"""SELECT CASE CAST("Input_id" AS BIGINT) % 10 WHEN 2 THEN 'field labeldem' ELSE 'malformed' END AS reason,
+               CASE CAST("Input_id" AS BIGINT) % 10 WHEN 0 THEN "Input_id" || ',' || labeldem || ',' || labelgop
+                    WHEN 1 THEN "Input_id" || ',' || labeldem || ',' || labelgop || ',' || labeldjt || ',1'
+                    ELSE '{{"Input_id":"' || "Input_id" || '","labeldem":"x","labelgop":"' || labelgop ||
+                         '","labeldjt":"' || labeldjt || '"}}' END AS line
+        FROM {O.LABEL_ROWS} WHERE CAST("Input_id" AS BIGINT) % 10 < 3""",
+)
+def src_csv_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Label lines with a field too few or too many, or a value of another type, as they stand."""
+    number = F.col("Input_id").cast("long") % 10
+    fields = [
+        F.col("Input_id"),
+        F.when(number == 2, "x").otherwise(F.col("labeldem")),
+        F.col("labelgop"),
+        F.when(number == 1, F.concat("labeldjt", F.lit(",1"))).when(number != 0, F.col("labeldjt")),
+    ]
+    lines = S.label_rows(spark, sf).select(
+        F.concat_ws(",", *fields).alias("Input_id,labeldem,labelgop,labeldjt")
+    )
+    path = scratch_path(spark, "doubtful-csv")
+    # One column whose name is the header, with a separator that no line holds.
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    schema = "Input_id string, labeldem int, labelgop int, labeldjt string"
+    held = ingest_csv(
+        spark, path, spark.createDataFrame([], schema).schema, scratch_path(spark, "ingested"), most_bad=0.5
+    )
+    return held.bad.select("reason", "line")
+
+
 @query(
     "src_parquet_scan",
     "SELECT doc_id, source, length(text) AS n FROM documents WHERE lang = 'en'",
@@ -324,6 +400,28 @@ def join_comment_submission_salted(spark: SparkSession, sf: str) -> DataFrame:
     return joins.link_join(S.threads(spark, sf), S.submissions(spark, sf), salts=16)
 
 
+@query("join_stored_links", _LINKED)
+def join_stored_links(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows from tables stored in buckets of the link key, without a shuffle."""
+    comments, submissions = scratch_path(spark, "comments"), scratch_path(spark, "submissions")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store_comments(S.threads(spark, sf), comments, buckets)
+    store_submissions(S.submissions(spark, sf), submissions, comments)
+    return linked(spark, comments, submissions)
+
+
+@query(
+    "join_labeled_late",
+    """SELECT d.doc_id, d.text, d.source, l.doc_id AS iid, l.quality, l.toxic
+       FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def join_labeled_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled documents, ids first, texts from the row groups that hold such ids."""
+    documents = S.table(spark, sf, "documents").select("doc_id", "text", "source")
+    labels = S.table(spark, sf, "labels").select(F.col("doc_id").alias("iid"), "quality", "toxic")
+    return attach_labels_late(documents, labels, ("doc_id", "iid"))
+
+
 @query(
     "join_scored_threeway",
     f"""SELECT a.id, a.pos, a.neg, c.com_score, s.sub_score
@@ -406,6 +504,46 @@ def agg_stage_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The filters of the flows over comments, one after the other.
+_STAGES = ("has_text", "unquoted", "not_sarcastic", "in_place")
+_STAGED = f"""(
+    SELECT id, body, author_flair_text,
+           CASE WHEN body IS NULL THEN 'has_text' WHEN body LIKE '%&gt;%' THEN 'unquoted'
+                WHEN body LIKE '%/s%' THEN 'not_sarcastic'
+                WHEN (author_flair_text IN ({_PLACE_LIST})) IS NOT TRUE THEN 'in_place' END AS gone
+    FROM {O.MARKED_COMMENTS})"""
+
+
+def _written_stages(spark: SparkSession, sf: str) -> str:
+    body, path = F.col("body"), scratch_path(spark, "staged")
+    conditions = (
+        body.isNotNull(),
+        ~F.contains(body, F.lit(prep.QUOTE_MARK)),
+        ~F.contains(body, F.lit(prep.SARCASM_MARK)),
+        F.col("author_flair_text").isin(*PLACES),
+    )
+    write_stages(S.marked_comments(spark, sf), path, dict(zip(_STAGES, conditions, strict=True)), ["id"])
+    return path
+
+
+@query(
+    "agg_stage_ledger",
+    f"""WITH staged AS (SELECT coalesce(list_position({list(_STAGES)}, gone), 9) AS n FROM {_STAGED}),
+             stages AS (SELECT unnest({["read", *_STAGES]}) AS stage, unnest(range(5)) AS i)
+        SELECT stage, count(*) FILTER (WHERE n > i) AS n_rows, count(*) FILTER (WHERE n = i) AS n_dropped
+        FROM stages, staged GROUP BY stage""",
+)
+def agg_stage_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows left and dropped by every filter of a flow, out of its one write."""
+    return stage_ledger(spark, _written_stages(spark, sf), _STAGES)
+
+
+@query("flow_stage_survivors", f"SELECT id, body, author_flair_text FROM {_STAGED} WHERE gone IS NULL")
+def flow_stage_survivors(spark: SparkSession, sf: str) -> DataFrame:
+    """What that write holds of the rows that passed every filter."""
+    return survivors(spark, _written_stages(spark, sf))
+
+
 @query(
     "agg_flag_counts",
     f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE pos = 1) AS pos,

@@ -23,6 +23,9 @@ The words around the passage or the rare words decide:
   sentence has no answer of its own; the quarter of its words that the fewest texts
   have, three at least, stands for it.
 
+A passage is projected only if the words it would be judged on hold enough rare words
+of some item; on others no judgement could find one.
+
 The item table is the query set: it is held in blocks of ``ITEM_BLOCK`` passages, one
 broadcast at a time; the distinct words of all items are counted in the texts. The
 latent basis has a fixed size, features by dimensions.
@@ -290,8 +293,8 @@ class _Probes:
         self.first, self.probes = np.append(first, len(keys)), probes[order]
         self.least, self.reach = np.array(self.least), np.array(self.reach)
 
-    def candidates(self, lookup: _Lookup, hashes: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First words of the places where enough rare words of a probe lie together, and the probe."""
+    def places(self, lookup: _Lookup, hashes: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where enough rare words of a probe follow each other in a text: first one, last one, probe."""
         at, where = lookup.find(hashes)
         counts = self.first[where + 1] - self.first[where]
         total = int(counts.sum())
@@ -302,8 +305,17 @@ class _Probes:
         held = np.flatnonzero(last < total)
         last = last[held]
         held_at, last_at = at[held], at[last]
-        enough = (own[last] == own[held]) & (text_of[last_at] == text_of[held_at]) & (last_at - held_at <= self.reach[own[held]])
-        return held_at[enough], own[held][enough]
+        enough = (own[last] == own[held]) & (text_of[last_at] == text_of[held_at])
+        return held_at[enough], last_at[enough], own[held][enough]
+
+
+def _within_reach(begins: np.ndarray, low: np.ndarray, high: np.ndarray, longest: int, n_words: int) -> np.ndarray:
+    """Which passages would be judged on words that hold both ends of a place."""
+    least = np.maximum(high - 2 * HALF - longest + 1, 0)
+    most = np.minimum(low + longest, n_words - 1)
+    held = least <= most
+    covered = np.bincount(least[held], minlength=n_words + 1) - np.bincount(most[held] + 1, minlength=n_words + 1)
+    return np.cumsum(covered)[begins] > 0
 
 
 def _search(sent):
@@ -340,24 +352,38 @@ def _search(sent):
                 found.setdefault(text, {})[item] = share
 
         text_of = words.text_of()
-        for place, probe in zip(*probes.candidates(lookup, _bare_hashes(texts, words, sums), text_of), strict=True):
+        low, high, asked = probes.places(lookup, _bare_hashes(texts, words, sums), text_of)
+        near = high - low <= probes.reach[asked]
+        for place, probe in zip(low[near], asked[near], strict=True):
             text, item, reach = int(text_of[place]), probes.items[probe], int(probes.reach[probe])
             if found.get(text, {}).get(item) != 1.0:
                 judge(text, item, int(place) - reach, int(place) + reach + 1)
-        features = _features(T.span_hashes(sums, words.starts, words.ends))
         # Halves of passages: the first word of each, and the text it is in.
         counts = -(-words.counts // HALF)
         first = np.concatenate([[0], np.cumsum(counts)])
         owner = np.repeat(np.arange(len(counts)), counts)
         begins = words.first[:-1][owner] + (np.arange(first[-1]) - first[:-1][owner]) * HALF
-        rows = projection[features]
-        halves = np.add.reduceat(rows, begins, axis=0)
-        squares = np.add.reduceat(weight[features] ** 2, begins)
         follows = np.zeros(len(begins), dtype=bool)
         follows[:-1] = owner[1:] == owner[:-1]
+        # A passage with too few rare words around it holds no item, whatever its likeness.
+        able = _within_reach(begins, low, high, longest, len(words.starts))
+        wanted = able.copy()
+        wanted[1:] |= able[:-1] & follows[:-1]
+        able = able[wanted]
+        if not len(able):
+            return
+        lengths = np.diff(np.append(begins, len(words.starts)))
+        held = np.flatnonzero(np.repeat(wanted, lengths))
+        begins, owner, follows, lengths = begins[wanted], owner[wanted], follows[wanted], lengths[wanted]
+        features = _features(T.span_hashes(sums, words.starts[held], words.ends[held]))
+        heads = np.cumsum(lengths) - lengths
+        halves = np.add.reduceat(projection[features], heads, axis=0)
+        squares = np.add.reduceat(weight[features] ** 2, heads)
+        joins = np.flatnonzero(able & follows)
         passages, norms = halves.copy(), squares.copy()
-        passages[:-1][follows[:-1]] += halves[1:][follows[:-1]]
-        norms[:-1][follows[:-1]] += squares[1:][follows[:-1]]
+        passages[joins] += halves[joins + 1]
+        norms[joins] += squares[joins + 1]
+        passages, norms, begins, owner = passages[able], norms[able], begins[able], owner[able]
         likeness = passages @ targets.T
         likeness /= np.sqrt(np.maximum(norms, 1e-12))[:, None]
         at, which = np.nonzero(likeness >= COSINE)

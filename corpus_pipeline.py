@@ -3,6 +3,10 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows the stage before
 kept. All but the last return the columns of ``documents``. Stage results are written
 to the shared folder and read back, so a lost executor costs one stage's tasks.
+
+Rows may repeat and any column may be null; what a stage makes of such rows its operator
+states. An empty table gives no rows. Other columns pass through up to the mix, under any
+names but those the mix works with (``_k``, ``_s``, ``_n``, ``_size``, ``_taken``, ``_copy``).
 """
 
 from __future__ import annotations
@@ -15,13 +19,22 @@ from opinara.llm.queries import documents, tokenizer_path
 from opinara.session import materialise
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, longer if ``docs`` has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _kept(docs: DataFrame, verdicts: DataFrame, kept: str, judged: tuple[str, ...]) -> DataFrame:
     """The rows of ``docs`` whose ``judged`` columns are those of a kept verdict.
 
     ``verdicts`` has a hash of the judged columns, ``_judged``, beside the document's key.
     """
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(*judged) == F.col("_judged"))
-    wanted = verdicts.where(kept).select(F.col("doc_id").alias("_id"), "_judged").distinct()
+    id_, hash_ = _free(docs, "_id"), _free(docs, "_judged")
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64(*judged) == F.col(hash_))
+    wanted = verdicts.where(kept).select(F.col("doc_id").alias(id_), F.col("_judged").alias(hash_)).distinct()
     return docs.join(wanted, same, "left_semi").select(*docs.columns)
 
 
@@ -37,8 +50,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with equal keys and texts are one document, and one row of them stays.
     """
     found = near_dup.near_duplicates(docs, shingle=near_dup.SHINGLE)
-    names = found.where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(names, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+    id_ = _free(docs, "_id")
+    names = found.where("kept").select(F.col("doc_id").alias(id_)).distinct()
+    kept = docs.join(names, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi").select(*docs.columns)
     return kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -179,6 +179,16 @@ def test_quality_rules(docs, empty, rows):
     assert quality_rules.judge(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 1, 900])
+def test_rare_grams_beyond_what_a_task_holds_are_joined(spark, docs, most):
+    def judged(**options):
+        rows = quality_rules.judge(docs, **options).collect()
+        names = [(*tuple(r)[:8], r.lang, None if r.perplexity is None else float(f"{r.perplexity:.9g}")) for r in rows]
+        return Counter(names)
+
+    assert judged(most=most) == judged()
+
+
 def test_kneser_ney_sums_to_one():
     data = np.frombuffer(b"abcabcabdabca", np.uint8)
     starts, ends = np.array([0, 3, 6, 9]), np.array([3, 6, 9, 13])

@@ -270,6 +270,18 @@ def test_quality_lm(spark, docs, empty):
     assert quality_lm.judge(empty, labels.where("false")).collect() == []
 
 
+def test_quality_lm_learns_from_every_trusted_text(spark):
+    """Texts of words of their own: those of the half that is learnt from are all known alike."""
+    n = 8600
+    docs = spark.createDataFrame([(i, f"a{i} b{i} c{i}", "en") for i in range(n)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(n)], "doc_id long, quality int, toxic int")
+    taught = {i for i in range(n) if int(hashlib.md5(str(i).encode()).hexdigest()[0], 16) % 2 == 0}
+    found = {r.doc_id: r.perplexity for r in quality_lm.judge(docs, labels).collect()}
+    assert len(taught) > 4200 and len(found) == n
+    least = min(found[i] for i in found if i not in taught)
+    assert all(found[i] < 0.9 * least for i in taught)
+
+
 def test_quality_lm_keeps_the_model_off_the_driver(spark, docs, monkeypatch):
     """Small shards and groups give the sums of one shard, and no table is fetched."""
 

@@ -107,6 +107,23 @@ def test_jobs_grow_with_steps_alone(spark, vectors):
     assert few[1] == many[1] == 4 and many[0] <= few[0] + 8
 
 
+def test_a_step_sends_the_driver_one_matrix(vectors, monkeypatch):
+    """However many lengths a step tries, and not one matrix for each task."""
+    sent, added = [], many_models._tree_sum
+
+    def watched(packed, of_block, height, width):
+        sent.append(height)
+        return added(packed, of_block, height, width)
+
+    packed = many_models.pack(vectors, ["poslabel", "neglabel"], "fold")
+    fits = [Fit(label, reg, f) for label in ("poslabel", "neglabel") for reg in GRID for f in range(FOLDS)]
+    monkeypatch.setattr(many_models, "_tree_sum", watched)
+    fitted = many_models.fit_all(packed, fits, most_steps=20, tolerance=0.0)
+    full = [height for height in sent if height > packed.n_features]
+    # One of them for the moments, one for the start.
+    assert len(full) == fitted.steps + 2
+
+
 def test_areas_by_key_equal_each_area_alone(spark):
     rng = np.random.default_rng(2)
     held = [(int(k), float(rng.integers(0, 12)), float(rng.integers(0, 2))) for k in rng.choice(4, 900, p=[0.7, 0.1, 0.1, 0.1])]

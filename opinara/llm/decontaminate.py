@@ -56,6 +56,8 @@ LEAST_RARE = 3
 COSINE = 0.3
 COPIED, PARAPHRASED, ANSWERED = 0.8, 0.6, 0.8
 ITEM_BLOCK = 8192
+# Item passages made vectors at a time, each of 4 * FEATURES bytes, and rows of a table of FEATURES turned at a time.
+VECTORS, TURNED = 32, 1 << 11
 # Bytes of text worked on at a time: a word takes 4 * DIMENSIONS bytes.
 SLICE = 1 << 19
 MARKS = b".,;:!?\"'()[]{}*#$%&-_"
@@ -126,12 +128,9 @@ def _document_frequency(sent):
     return count
 
 
-def _summed(kind: str, out: str = "<f8"):
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, kind).astype(np.float64) for x in table.column("n").to_pylist())
-        return pa.table({"n": pa.array([total.astype(out).tobytes()], pa.binary()), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64())})
-
-    return add
+def _summed(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, "<i8").astype(np.float64) for x in table.column("n").to_pylist())
+    return pa.table({"n": pa.array([total.tobytes()], pa.binary()), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64())})
 
 
 def inverse_frequency(texts: DataFrame, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +138,7 @@ def inverse_frequency(texts: DataFrame, named: np.ndarray) -> tuple[np.ndarray,
     sent = texts.sparkSession.sparkContext.broadcast(named)
     parts = texts.mapInArrow(_document_frequency(sent), "n binary, texts long")
     # Partial sums in groups first, so that no task adds up all partitions' tables.
-    parts = parts.withColumn("g", F.spark_partition_id() % 64).groupBy("g").applyInArrow(_summed("<i8"), "n binary, texts long")
+    parts = parts.withColumn("g", F.spark_partition_id() % 64).groupBy("g").applyInArrow(_summed, "n binary, texts long")
     held, n = np.zeros(FEATURES + len(named)), 0
     for row in parts.toLocalIterator():
         held, n = held + np.frombuffer(bytes(row.n), "<f8"), n + row.texts
@@ -178,14 +177,41 @@ def _vectors(lists: list[list[int]], weight: np.ndarray) -> np.ndarray:
     return made / np.where(norms > 0, norms, 1)
 
 
+def _summed_piece(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in table.column("n").to_pylist())
+    return pa.table({"low": table.column("low").slice(0, 1), "n": pa.array([total.astype("<f4").tobytes()], pa.binary())})
+
+
+def _orthonormal(table: np.ndarray) -> np.ndarray:
+    """``table`` with its columns made orthonormal in place, by the eigenvectors of their products.
+
+    Columns beyond the rank become zero. A factorisation of the whole table would hold
+    several copies of it in double precision. The second round takes off what rounding left.
+    """
+    for _ in range(2):
+        products = np.zeros((table.shape[1], table.shape[1]))
+        for low in range(0, len(table), TURNED):
+            rows = table[low : low + TURNED].astype(np.float64)
+            products += rows.T @ rows
+        values, vectors = np.linalg.eigh(products)
+        held = values > 1e-13 * max(values[-1], 1e-300)
+        turn = np.where(held, vectors / np.sqrt(np.where(held, values, 1.0)), 0.0)
+        for low in range(0, len(table), TURNED):
+            table[low : low + TURNED] = table[low : low + TURNED] @ turn
+    return table
+
+
 def latent_basis(passages: DataFrame, weight: np.ndarray) -> np.ndarray:
     """Randomised SVD: the leading right singular vectors, features by dimensions.
 
     Each partition adds A'(A Q) over its rows; the sum, of a size that the data
-    does not change, is made orthonormal on the driver and goes round again.
+    does not change, comes to the driver in pieces, is made orthonormal there and goes round again.
     """
     size = DIMENSIONS + SURPLUS
-    basis = np.linalg.qr(np.random.default_rng(3).normal(size=(FEATURES, size)).astype(np.float32))[0]
+    random, basis = np.random.default_rng(3), np.empty((FEATURES, size), dtype=np.float32)
+    for low in range(0, FEATURES, TURNED):
+        basis[low : low + TURNED] = random.normal(size=(TURNED, size))
+    basis = _orthonormal(basis)
     for last in [False] * ITERATIONS + [True]:
         sent = passages.sparkSession.sparkContext.broadcast(basis)
 
@@ -193,21 +219,22 @@ def latent_basis(passages: DataFrame, weight: np.ndarray) -> np.ndarray:
             total = np.zeros((size, size) if last else (FEATURES, size))
             for batch in batches:
                 lists = batch.column(0).to_pylist()
-                for low in range(0, len(lists), 256):
-                    rows = _vectors(lists[low : low + 256], weight)
+                for low in range(0, len(lists), VECTORS):
+                    rows = _vectors(lists[low : low + VECTORS], weight)
                     projected = rows @ sent.value
                     total += projected.T @ projected if last else rows.T @ projected
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([total.astype("<f4").tobytes()], pa.binary()), pa.array([1], pa.int64())], names=["n", "texts"]
-            )
-
-        parts = passages.select("features").mapInArrow(multiply, "n binary, texts long")
-        total = np.zeros((size, size) if last else (FEATURES, size))
-        grouped = parts.withColumn("g", F.spark_partition_id() % 4).groupBy("g").applyInArrow(_summed("<f4", "<f4"), "n binary, texts long")
-        for row in grouped.toLocalIterator():
-            total += np.frombuffer(bytes(row.n), "<f4").reshape(total.shape)
+            total = total.astype("<f4")
+            for low in range(0, len(total), TURNED):
+                piece = total[low : low + TURNED].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([piece], pa.binary())], names=["low", "n"])
+
+        parts = passages.select("features").mapInArrow(multiply, "low long, n binary")
+        total = np.zeros((size, size) if last else (FEATURES, size), dtype=np.float64 if last else np.float32)
+        for row in parts.groupBy("low").applyInArrow(_summed_piece, "low long, n binary").toLocalIterator():
+            piece = np.frombuffer(row.n, "<f4").reshape(-1, size)
+            total[row.low : row.low + len(piece)] = piece
         if not last:
-            basis = np.linalg.qr(total.astype(np.float32))[0]
+            basis = _orthonormal(total)
     values, turned = np.linalg.eigh(total)
     return (basis @ turned[:, ::-1][:, :DIMENSIONS]).astype(np.float32)
 
@@ -445,7 +472,7 @@ def _blocks(spark, passages: DataFrame, basis: np.ndarray, weight: np.ndarray, n
 
     def made(rows):
         vectors = np.concatenate(
-            [_vectors([r.features for r in rows[i : i + 256]], weight) @ basis for i in range(0, len(rows), 256)]
+            [_vectors([r.features for r in rows[i : i + VECTORS]], weight) @ basis for i in range(0, len(rows), VECTORS)]
         )
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         targets = (vectors / np.where(norms > 0, norms, 1)).astype(np.float32)

@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -94,3 +95,26 @@ def test_places_reach_every_passage_judged_on_them():
             any(b - longest <= x and y < b + 2 * D.HALF + longest for x, y in zip(low, high, strict=True)) for b in begins
         ]
         assert D._within_reach(begins, low, high, longest, n).tolist() == wanted
+
+
+def test_the_basis_leaves_the_driver_little_to_hold(spark):
+    """The pipeline's driver was stopped above its memory while it factorised the table whole."""
+    passages = spark.createDataFrame([([i % 7, i, 3 * i],) for i in range(40)], "features array<long>")
+    tracemalloc.start()
+    basis = D.latent_basis(passages, np.ones(D.FEATURES, dtype=np.float32))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 7 * basis.nbytes
+    found = D._vectors([r.features for r in passages.collect()], np.ones(D.FEATURES, dtype=np.float32))
+    assert np.abs(found @ basis @ basis.T - found).max() < 1e-4
+
+
+@pytest.mark.parametrize("rank", [1, 9, 20])
+def test_columns_made_orthonormal_span_what_they_did(rank):
+    random = np.random.default_rng(1)
+    scales = 10.0 ** -np.linspace(0, 4, 20)
+    table = random.normal(size=(D.FEATURES, rank)) @ (random.normal(size=(rank, 20)) * scales)
+    made = D._orthonormal(table.astype(np.float32))
+    held = np.linalg.norm(made, axis=0) > 0.5
+    assert held.sum() >= rank and np.abs(made[:, held].T @ made[:, held] - np.eye(held.sum())).max() < 1e-4
+    assert np.linalg.norm(table - made @ (made.T @ table)) < 1e-5 * np.linalg.norm(table)

@@ -13,9 +13,11 @@ its coefficients, those taken for features of unit variance over the rows it is
 fitted to; the intercept is free. That is what ``LogisticRegression`` minimises with its
 defaults, so both have the same optimum.
 
-Vectors are packed once, in blocks of rows, into the shared folder. The driver holds
-``HISTORY`` pairs of matrices; ``DRIVER_BYTES`` bounds them, and more models than fit
-are optimised some at a time. No row reaches the driver.
+Vectors are packed once, in compressed blocks of rows, into the shared folder. A task
+holds ``BATCH_BLOCKS`` of them at a time, and no more than ``GROUP_BYTES`` in a row group,
+whatever the rows of its part. Tasks take ``PART_BLOCKS`` each or more, since each sends
+a matrix. The driver holds ``HISTORY`` pairs of matrices; ``DRIVER_BYTES`` bounds them, and
+more models than fit are optimised some at a time. No row reaches the driver.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.operators.evaluate import areas
-from opinara.session import materialise, scratch_path
+from opinara.session import scratch_path
 
 HISTORY = 10
 MOST_STEPS = 200
@@ -40,6 +42,8 @@ TOLERANCE = 1e-8
 DRIVER_BYTES, DIRECT_BYTES = 512 << 20, 4 << 20
 # Entries of a block's rows, which are worked on together for all models.
 BLOCK_ENTRIES = 1 << 17
+# Blocks sent to a worker at once, bytes of a row group of blocks, and blocks of a task beyond one task a core.
+BATCH_BLOCKS, GROUP_BYTES, PART_BLOCKS = 4, 4 << 20, 256
 # Rows of the matrix in one piece of a gradient, and partial sums added at a time.
 PIECE, FAN_IN = 8192, 32
 # Step lengths tried in one reading of the rows, each half the one before, and readings at most.
@@ -70,8 +74,12 @@ class Fitted:
 
 @dataclass
 class Packed:
-    """The written blocks of rows, their labels' names and the number of features."""
+    """The written blocks of rows, their labels' names, the number of features, and of tasks that read the blocks.
 
+    ``blocks`` belong to a session whose workers get ``BATCH_BLOCKS`` at once, not to ``spark``.
+    """
+
+    spark: SparkSession
     blocks: DataFrame
     labels: list[str]
     n_features: int
@@ -81,66 +89,91 @@ class Packed:
 def _frozen(**arrays: np.ndarray) -> bytes:
     out = io.BytesIO()
     np.savez(out, **arrays)
-    return out.getvalue()
+    held = out.getvalue()
+    return len(held).to_bytes(8, "little") + pa.compress(held, codec="lz4", asbytes=True)
+
+
+def _thawed(block: bytes) -> Mapping[str, np.ndarray]:
+    held = pa.decompress(memoryview(block)[8:], int.from_bytes(block[:8], "little"), codec="lz4")
+    return np.load(io.BytesIO(held))
+
+
+def _few_at_a_time(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, but for workers that get ``BATCH_BLOCKS`` rows at once."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_BLOCKS))
+    return own
 
 
 def pack(vectors: DataFrame, labels: Sequence[str], fold: str, features: str = "features") -> Packed:
     """Vectors, 0/1 labels and folds as blocks of arrays, ordered by row and by feature."""
-    path = scratch_path(vectors.sparkSession, "raw_vectors")
+    spark = vectors.sparkSession
+    path = scratch_path(spark, "raw_vectors")
     held = vectors.select(
         F.col(features).alias("features"), *[F.col(c).cast("double").alias(c) for c in labels], F.col(fold).cast("int").alias("fold")
     )
     held.write.parquet(path)
     schema = f"features {RAW_VECTOR}, {', '.join(f'{c} double' for c in labels)}, fold int"
-    raw = vectors.sparkSession.read.schema(schema).parquet(path)
+    raw = spark.read.schema(schema).parquet(path)
     names = list(labels)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vector = batch.column("features")
             dense = np.asarray(vector.field("type")) == 1
-            values = vector.field("values")
-            lengths = np.asarray(values.value_lengths()).astype(np.int64)
+            sizes = np.asarray(vector.field("size").fill_null(0))
+            lengths = np.asarray(vector.field("values").value_lengths()).astype(np.int64)
             first = np.concatenate([[0], np.cumsum(lengths)])
-            columns = np.arange(first[-1]) - np.repeat(first[:-1], lengths)
-            columns[~np.repeat(dense, lengths)] = np.asarray(vector.field("indices").flatten())
-            values = np.asarray(values.flatten())
             y = np.stack([np.asarray(batch.column(c)) for c in names], axis=1)
             fold_of = np.asarray(batch.column("fold"))
-            size = int(np.asarray(vector.field("size").fill_null(0)).max(initial=0))
-            size = max(size, int(columns.max(initial=-1)) + 1)
             low = 0
             while low < batch.num_rows:
                 high = int(np.searchsorted(first, first[low] + BLOCK_ENTRIES, side="right")) - 1
                 high = min(max(high, low + 1), batch.num_rows)
-                here = slice(first[low], first[high])
-                order = np.argsort(columns[here], kind="stable")
-                ranked = columns[here][order]
-                owner = np.repeat(np.arange(high - low), lengths[low:high])
+                starts_at, own = first[low : high + 1] - first[low], lengths[low:high]
+                values = np.asarray(vector.field("values").slice(low, high - low).flatten())
+                columns = np.arange(starts_at[-1]) - np.repeat(starts_at[:-1], own)
+                columns[~np.repeat(dense[low:high], own)] = np.asarray(vector.field("indices").slice(low, high - low).flatten())
+                size = max(int(sizes[low:high].max()), int(columns.max(initial=-1)) + 1)
+                order = np.argsort(columns, kind="stable")
+                ranked = columns[order]
+                owner = np.repeat(np.arange(high - low), own)
                 starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else order
                 made = _frozen(
-                    first=first[low : high + 1] - first[low],
-                    columns=columns[here].astype(np.int32),
-                    values=values[here],
+                    first=starts_at,
+                    columns=columns.astype(np.int32),
+                    values=values,
                     labels=y[low:high],
                     fold=fold_of[low:high],
                     owner=owner[order].astype(np.int32),
-                    ranked_values=values[here][order],
+                    ranked_values=values[order],
                     starts=starts,
                     features=ranked[starts].astype(np.int32),
                 )
                 yield pa.record_batch([pa.array([made], pa.binary()), pa.array([size], pa.int32())], ["block", "size"])
                 low = high
 
-    packed = materialise(raw.mapInArrow(blocks, "block binary, size int"), "packed_vectors")
-    return Packed(packed, names, packed.agg(F.max("size")).first()[0] or 0, packed.rdd.getNumPartitions())
+    path = scratch_path(spark, "packed_vectors")
+    # A block is far larger than the rows these bounds are looked at after by default.
+    written = raw.mapInArrow(blocks, "block binary, size int").write.option("compression", "none")
+    for name, value in {"block.size": GROUP_BYTES, "block.size.row.check.min": 1, "page.size.row.check.min": 1}.items():
+        written = written.option(f"parquet.{name}", value)
+    written.option("parquet.enable.dictionary", "false").parquet(path)
+    packed = _few_at_a_time(spark).read.schema("block binary, size int").parquet(path)
+    size, n_blocks = packed.agg(F.max("size"), F.count("*")).first()
+    cores = spark.sparkContext.defaultParallelism
+    parts = min(packed.rdd.getNumPartitions(), cores * max(1, -(-n_blocks // (cores * PART_BLOCKS))))
+    return Packed(spark, packed.coalesce(max(1, parts)), names, size or 0, parts)
 
 
 class _Rows:
     """A block's rows, by row and by feature."""
 
     def __init__(self, block: bytes) -> None:
-        held = np.load(io.BytesIO(block))
+        held = _thawed(block)
         self.first, self.columns, self.values = held["first"], held["columns"], held["values"]
         self.labels, self.fold = held["labels"], held["fold"]
         self.owner, self.ranked_values = held["owner"], held["ranked_values"]
@@ -164,8 +197,9 @@ class _Rows:
 def _tree_sum(packed: Packed, of_block, height: int, width: int) -> np.ndarray:
     """The sum over all blocks of what ``of_block`` adds to a matrix, added up in a tree.
 
-    A task adds up its blocks and sends the matrix in pieces; equal pieces of some tasks
-    are added up, then those of all. Sums of few tasks, ``DIRECT_BYTES`` in all, need no tree.
+    A task adds up its blocks and sends the matrix in pieces, without those that are all zero;
+    equal pieces of some tasks are added up, then those of all. Sums of few tasks,
+    ``DIRECT_BYTES`` in all, need no tree.
     """
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +208,9 @@ def _tree_sum(packed: Packed, of_block, height: int, width: int) -> np.ndarray:
             for block in batch.column("block"):
                 of_block(total, _Rows(block.as_py()))
         for piece in range(0, height, PIECE):
-            data = total[piece : piece + PIECE].tobytes()
-            yield pa.record_batch([pa.array([piece]), pa.array([data], pa.binary())], ["piece", "data"])
+            held = total[piece : piece + PIECE]
+            if held.any():
+                yield pa.record_batch([pa.array([piece]), pa.array([held.tobytes()], pa.binary())], ["piece", "data"])
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), dtype=np.float64) for x in table.column("data"))
@@ -239,7 +274,7 @@ class _Problem:
 
     def losses(self, at: np.ndarray, way: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Each model's loss after going ``way`` by each row of ``lengths``, from one reading of the rows."""
-        context = self.packed.blocks.sparkSession.sparkContext
+        context = self.packed.spark.sparkContext
         shared = context.broadcast((self.plain(at), self.plain(way), lengths, self.label, self.without))
 
         def of_block(total: np.ndarray, rows: _Rows) -> None:
@@ -259,7 +294,7 @@ class _Problem:
     def evaluate(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each model's loss and gradient, from one reading of the rows."""
         features, k = self.packed.n_features, len(self.fits)
-        context = self.packed.blocks.sparkSession.sparkContext
+        context = self.packed.spark.sparkContext
         shared = context.broadcast((self.plain(at), self.label, self.without))
 
         def of_block(total: np.ndarray, rows: _Rows) -> None:
@@ -392,8 +427,8 @@ def fit_all(packed: Packed, fits: Sequence[Fit], most_steps: int = MOST_STEPS, t
 
 
 def held_out_scores(packed: Packed, fitted: Fitted) -> DataFrame:
-    """``fit, score, label``: the margin of each row under each model that left its fold out."""
-    context = packed.blocks.sparkSession.sparkContext
+    """``fit, score, label``: the margin of each row under each model that left its fold out; written."""
+    context = packed.spark.sparkContext
     label = np.array([packed.labels.index(f.label) for f in fitted.fits])
     without = np.array([-1 if f.without is None else f.without for f in fitted.fits])
     shared = context.broadcast((fitted.coefficients, fitted.intercepts, label, without))
@@ -410,7 +445,10 @@ def held_out_scores(packed: Packed, fitted: Fitted) -> DataFrame:
                     ["fit", "score", "label"],
                 )
 
-    return packed.blocks.select("block").mapInArrow(score, "fit int, score double, label double")
+    scored = packed.blocks.select("block").mapInArrow(score, "fit int, score double, label double")
+    path = scratch_path(packed.spark, "validation_scores")
+    scored.write.parquet(path)
+    return packed.spark.read.schema(scored.schema).parquet(path)
 
 
 def cross_validate_all(

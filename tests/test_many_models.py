@@ -1,11 +1,15 @@
 """Many models at once against Spark's own cross-validation, and the optimum by its gradient."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import functions as F
 
 from opinara.operators import many_models
 from opinara.operators.evaluate import areas, auc
@@ -124,6 +128,50 @@ def test_a_step_sends_the_driver_one_matrix(vectors, monkeypatch):
     assert len(full) == fitted.steps + 2
 
 
+def test_blocks_are_written_and_read_a_few_at_a_time(spark):
+    """One part of four million values: no row group, and nothing a worker gets at once, holds all of it."""
+    value = F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: (F.xxhash64("id", i) % 1000003).cast("double"))
+    held = spark.range(0, 2000, 1, 1).select(array_to_vector(value).alias("features"), (F.col("id") % 2).alias("y"), F.lit(0).alias("fold"))
+    packed = many_models.pack(held, ["y"], "fold")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    got = packed.blocks.select("block").mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) > 25 and max(r.size for r in got) < 20 << 20
+    files = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in packed.blocks.inputFiles()]
+    groups = [m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) > 30 << 20 and max(groups) < 10 << 20
+
+
+def test_blocks_hold_the_rows_as_they_are(spark, rows, vectors, monkeypatch):
+    monkeypatch.setattr(many_models, "BLOCK_ENTRIES", 64)
+    x, y, fold = rows
+    packed = many_models.pack(vectors, ["poslabel", "neglabel"], "fold")
+    seen = []
+    for r in packed.blocks.collect():
+        block = many_models._Rows(r.block)
+        products = block.times(np.eye(25))
+        back = np.zeros((25, len(products)))
+        block.add_transposed(back, np.eye(len(products)))
+        assert np.array_equal(back.T, products)
+        seen += [(*a, *b, f) for a, b, f in zip(products, block.labels, block.fold, strict=True)]
+    assert packed.n_features == 25
+    assert sorted(seen) == sorted((*a, *b, f) for a, b, f in zip(x, y.astype(float), fold, strict=True))
+
+
+def test_small_files_do_not_make_more_sums_than_cores(spark, vectors):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        packed = many_models.pack(vectors.repartition(40), ["poslabel", "neglabel"], "fold")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert packed.parts == packed.blocks.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
 def test_areas_by_key_equal_each_area_alone(spark):
     rng = np.random.default_rng(2)
     held = [(int(k), float(rng.integers(0, 12)), float(rng.integers(0, 2))) for k in rng.choice(4, 900, p=[0.7, 0.1, 0.1, 0.1])]

@@ -1079,19 +1079,24 @@ def score_probability(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("model_roundtrip", f"SELECT id, TRUE AS same FROM {_HELD_OUT}")
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether a saved and loaded model scores each held-out row as before."""
+    """Whether a saved and loaded model scores each held-out row as before.
+
+    Each loaded model is scored by itself: its vectoriser has the saved one's name, and
+    beside it would be given the saved one's vectors.
+    """
     fitted, held_out = _trained(spark, sf)
-    every, same = {}, F.lit(True)
+    scored = models.score(held_out, {f"{name}_before": model for name, model in fitted.items()})
+    every, same = [], F.lit(True)
     for name, model in fitted.items():
         path = scratch_path(spark, "model")
         save_model(model, path)
-        every |= {f"{name}_before": model, f"{name}_after": load_model(path)}
+        scored = models.score(scored, {f"{name}_after": load_model(path)})
+        every += [f"{name}_before", f"{name}_after"]
         before, after = (
             F.struct(f"{name}_{time}", f"{name}_{time}_probability") for time in ("before", "after")
         )
         same &= before == after
-    scored = models.with_probability(models.score(held_out, every), every)
-    return scored.select("id", same.alias("same"))
+    return models.with_probability(scored, every).select("id", same.alias("same"))
 
 
 _UNMARKED = f"({_LINKED}) WHERE NOT body LIKE '%&gt;%' AND NOT body LIKE '%/s%'"

@@ -1,9 +1,11 @@
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
 from opinara.operators import evaluate, models
 from opinara.operators.features import fit_vocabulary
-from opinara.plans import flows
+from opinara.plans import catalog, flows
 from opinara.sources import load_model, save_model
 
 
@@ -107,6 +109,31 @@ def test_saved_model_scores_the_same(trained, tmp_path):
     assert both.where("a <> b OR a_probability <> b_probability").count() == 0
 
 
+@pytest.mark.parametrize("broken", [None, 0, 1])
+def test_roundtrip_scores_with_each_loaded_vectoriser(spark, tmp_path, monkeypatch, broken):
+    """A model that comes back with another vocabulary is told, whichever of the two it is."""
+    ids = spark.range(0, 400, 1, 1).withColumnRenamed("id", "doc_id")
+    kind = F.col("doc_id") % 3
+    text = F.when(kind == 0, "good fine day").when(kind == 1, "bad awful night").otherwise("so so")
+    ids.select("doc_id", text.alias("text"), F.lit("web").alias("source")).write.parquet(f"{tmp_path}/documents.parquet")
+    quality, toxic = (kind == 0).cast("int"), (kind == 1).cast("int")
+    ids.select("doc_id", quality.alias("quality"), toxic.alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    loaded = []
+
+    def load(path):
+        vectoriser, classifier = load_model(path).stages
+        loaded.append(path)
+        if len(loaded) - 1 == broken:
+            other = CountVectorizerModel.from_vocabulary(vectoriser.vocabulary[::-1], inputCol="words", outputCol="features")
+            vectoriser = other._resetUid(vectoriser.uid).setBinary(True)
+        return PipelineModel(stages=[vectoriser, classifier])
+
+    monkeypatch.setattr(catalog, "load_model", load)
+    same = [r.same for r in catalog.model_roundtrip(spark, str(tmp_path)).collect()]
+    assert len(loaded) == 2 and len(same) > 100
+    assert all(same) == (broken is None)
+
+
 def test_saved_cross_validation_keeps_its_metrics(labelled, tmp_path):
     vectors = fit_vocabulary(labelled).transform(labelled)
     found = models.cross_validate(vectors, models.NEGATIVE, (0.1, 1.0), folds=2)
